@@ -99,3 +99,20 @@ def clash_free(df: DataFrame, own: list[str]) -> DataFrame:
 
 
 Query = Callable[[SparkSession, str], DataFrame]
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors of a cluster, once for each Spark context."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local" or getattr(sc, "_octoseg_shipped", False):
+        return
+    import zipfile
+    from pathlib import Path
+
+    root = Path(__file__).parent
+    out = Path(tempfile.mkdtemp(prefix="octoseg-src-")) / "octoseg.zip"
+    with zipfile.ZipFile(out, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    sc.addPyFile(str(out))
+    sc._octoseg_shipped = True
