@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from octoseg.llm.history_index import p6_checked, p6_found
 from octoseg.llm.near_duplicates import p3_found, p3_groups
+from octoseg.llm.neighbours import p2_found, p2_neighbours
 from octoseg.runtime import Query
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_groups": p3_groups}
+QUERIES: dict[str, Query] = {
+    "p2_found": p2_found,
+    "p2_neighbours": p2_neighbours,
+    "p3_found": p3_found,
+    "p3_groups": p3_groups,
+    "p6_found": p6_found,
+    "p6_checked": p6_checked,
+}
 SQL: dict[str, str] = {}
