@@ -54,6 +54,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder, deleted when the process ends."""
+    path = f"{shared_dir(spark)}/octoseg-{uuid.uuid4().hex}/{name}"
+    _STAGED.append((spark, path))
+    return path
+
+
 def stage(df: DataFrame, name: str = "t", partition_by: list[str] | None = None) -> DataFrame:
     """Write df as parquet into the shared folder and read it back.
 
@@ -61,10 +68,9 @@ def stage(df: DataFrame, name: str = "t", partition_by: list[str] | None = None)
     pruning and pushed filters. Generated ids are stable once a table is staged.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/octoseg-{uuid.uuid4().hex}/{name}"
+    path = scratch(spark, name)
     w = df.write.mode("errorifexists").option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    _STAGED.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
