@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from octoseg.llm.cooccurrence import P1_SQL, p1_found, p1_pairs
 from octoseg.llm.history_index import p6_checked, p6_found
 from octoseg.llm.near_duplicates import p3_found, p3_groups
 from octoseg.llm.neighbours import p2_found, p2_neighbours
+from octoseg.llm.quantiles import P5_SQL, p5_found, p5_percentiles
 from octoseg.runtime import Query
 
 QUERIES: dict[str, Query] = {
+    "p1_found": p1_found,
+    "p1_pairs": p1_pairs,
+    "p5_found": p5_found,
+    "p5_percentiles": p5_percentiles,
     "p2_found": p2_found,
     "p2_neighbours": p2_neighbours,
     "p3_found": p3_found,
@@ -15,4 +21,4 @@ QUERIES: dict[str, Query] = {
     "p6_found": p6_found,
     "p6_checked": p6_checked,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = P1_SQL | P5_SQL

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from octoseg.llm import signatures as S
 from octoseg.llm.near_duplicates import candidate_pairs
-from octoseg.runtime import shared_dir, stage, table
+from octoseg.runtime import scratch, stage, table
 
 ENTRY = "cid long, segment_name string, h1 long, h2 long, n int, grp long, lanes binary, c0 long, c1 long, c2 long, c3 long"
 CODE = ["c0", "c1", "c2", "c3"]
@@ -127,9 +127,7 @@ def accept(index: SignatureIndex, incoming: DataFrame) -> None:
 def p6_checked(spark, sf_dir: str) -> DataFrame:
     """Every submission with what makes it known."""
     seg = table(spark, sf_dir, "segment_kmers")
-    import uuid
-
-    index = SignatureIndex.create(seg.select("segment_name", "kmer_signature"), f"{shared_dir(spark)}/octoseg-{uuid.uuid4().hex}/index")
+    index = SignatureIndex.create(seg.select("segment_name", "kmer_signature"), scratch(spark, "index"))
     return check_batches(index, seg, table(spark, sf_dir, "incoming_segments"))
 
 
