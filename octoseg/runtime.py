@@ -91,7 +91,7 @@ atexit.register(drop_staged)
 
 def small_enough(df: DataFrame, limit_bytes: int = 8 << 20) -> bool:
     """Whether Catalyst's size estimate proves that df may be broadcast."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString()) <= limit_bytes
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit_bytes
 
 
 def broadcast_if_small(df: DataFrame, limit_bytes: int = 8 << 20) -> DataFrame:
