@@ -27,7 +27,11 @@ def cluster_items(profile: str | Column = "genotype_profile") -> Column:
 
 def basket_items(df: DataFrame, basket: str, fields: dict[str, Column]) -> DataFrame:
     """Distinct (field, basket, item); a null basket or item is none. Repeated rows fall away before the shuffle."""
-    each = [F.transform(items, lambda x, f=f: F.struct(F.lit(f).alias("field"), x.alias("item"))) for f, items in fields.items()]
+
+    def named(field: str, items: Column) -> Column:
+        return F.transform(items, lambda x: F.struct(F.lit(field).alias("field"), x.alias("item")))
+
+    each = [named(f, items) for f, items in fields.items()]
     all_items = F.flatten(F.array(*(F.coalesce(x, F.array().cast("array<struct<field:string,item:string>>")) for x in each)))
     rows = df.where(F.col(basket).isNotNull()).select(F.col(basket).alias("basket"), F.explode(all_items).alias("x"))
     return rows.select("x.field", "basket", "x.item").where("item is not null").distinct()
