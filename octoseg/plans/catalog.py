@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from octoseg.operators.timestamps import p4_found, p4_states
 from octoseg.runtime import Query
 
-QUERIES: dict[str, Query] = {}
+QUERIES: dict[str, Query] = {"p4_found": p4_found, "p4_states": p4_states}
 SQL: dict[str, str] = {}
