@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,54 +22,60 @@ SPACING = 192
 WORD, SENTENCE, LINE, PARAGRAPH = 1, 2, 3, 4
 
 
-def _atoms(enc: Encoder, text: str, limit: int) -> tuple[list[int], list[int], list[bool]]:
-    """Starts, token counts and landmarks of the text's pre-tokens; those of more than limit tokens are cut up."""
-    starts, sizes, marks = [], [], []
-    back = [0] * BACK
-    for m in enc.finditer(text):
-        piece = m.group()
-        n = len(enc.cache[piece])
-        parts = [(m.start(), piece, n)] if n <= limit else [(m.start() + i, p, len(enc.cache[p])) for i, p in _cut(piece)]
-        for at, p, k in parts:
-            back = [*back[1:], xxhash.xxh32_intdigest(p)]
-            h = 0
-            for x in back:
-                h = (h * 0x01000193 + x) & 0xFFFFFFFF
-            starts.append(at)
-            sizes.append(k)
-            marks.append((h ^ (h >> 15)) % SPACING == 0)
-    return starts, sizes, marks
-
-
-def _cut(piece: str) -> Iterator[tuple[int, str]]:
+class Atoms:
+    """What a cut must know of a pre-token, looked up once for each distinct one and packed into a whole number:
+    tokens (20 bits), flags (8 bits), a hash (32 bits)."""
+
+    STARTS, ENDS, BLANK, NEWLINE, LINES, STOP = (1 << (20 + i) for i in range(6))
+
+    def __init__(self, enc: Encoder) -> None:
+        outer = self
+        self.enc = enc
+
+        class Cache(dict):
+            def __missing__(self, p: str) -> int:
+                v = outer._packed(p)
+                if len(p) <= 64:
+                    if len(self) > enc.keep:
+                        self.clear()
+                    self[p] = v
+                return v
+
+        self.cache = Cache()
+
+    def _packed(self, p: str) -> int:
+        v = min(len(self.enc.cache[p]), (1 << 20) - 1)
+        v |= self.STARTS * p[0].isspace() | self.ENDS * p[-1].isspace() | self.BLANK * p.isspace()
+        v |= self.NEWLINE * (p[-1] == "\n") | self.LINES * (p.count("\n") > 1)
+        bare = p.rstrip("\"'”’»)] \t")
+        v |= self.STOP * (bare[-1:] in tuple(".!?…。！？"))
+        return v | xxhash.xxh32_intdigest(p) << 28
+
+
+def _cut(piece: str) -> list[str]:
     """Atoms of a long pre-token: they end where the hash of the last letters says so, at ATOM letters at the latest."""
-    begin = 0
+    begin, out = 0, []
     for i in range(1, len(piece) + 1):
         if i == len(piece) or i - begin >= ATOM or (i - begin >= 8 and xxhash.xxh32_intdigest(piece[i - BACK : i]) % 32 == 0):
-            yield begin, piece[begin:i]
+            out.append(piece[begin:i])
             begin = i
+    return out
+
+
+def levels(v: np.ndarray) -> np.ndarray:
+    """How natural a cut before each atom is: 4 paragraph, 3 line, 2 sentence, 1 word end, 0 within a word."""
+    has = lambda f: (v & f) != 0
+    back = lambda x: np.concatenate([[False], x[:-1]])  # noqa: E731  the atom before
+    blank, newline, stop = back(has(Atoms.BLANK)), back(has(Atoms.NEWLINE)), has(Atoms.STOP)
+    out = (has(Atoms.STARTS) | back(has(Atoms.ENDS))).astype(np.int8)
+    sentence = back(stop) | (blank & back(back(stop)))
+    out[(out > 0) & sentence] = SENTENCE
+    out[newline] = LINE
+    out[newline & (back(has(Atoms.LINES)) | (blank & back(back(has(Atoms.NEWLINE)))))] = PARAGRAPH
+    return out
 
 
-def level(text: str, at: int) -> int:
-    """How natural a cut before text[at] is: 4 paragraph, 3 line, 2 sentence, 1 word end, 0 within a word."""
-    before, after = text[at - 1], text[at]
-    if before == "\n":
-        i, lines = at - 1, 0
-        while i >= 0 and text[i].isspace():
-            lines += text[i] == "\n"
-            if lines > 1:
-                return PARAGRAPH
-            i -= 1
-        return LINE
-    if after.isspace() or before.isspace():
-        i = at - 1
-        while i > 0 and (text[i].isspace() or text[i] in "\"'”’»)]"):
-            i -= 1
-        return SENTENCE if text[i] in ".!?…。！？" else WORD
-    return 0
-
-
-def split_text(enc: Encoder, text: str, most: int = 512, overlap: int = 64, least: int = 128) -> list[tuple[int, int, int, int]]:
+def split_text(atoms: Atoms, text: str, most: int = 512, overlap: int = 64, least: int = 128) -> list[tuple[int, int, int, int]]:
     """(start, body, end, tokens) of each piece: text[start:end] has at most `most` tokens, text[start:body] repeats
     the last `overlap` tokens or fewer of the piece before, and the bodies make up the whole text.
 
@@ -77,54 +84,85 @@ def split_text(enc: Encoder, text: str, most: int = 512, overlap: int = 64, leas
     """
     if not text:
         return []
-    whole = enc.count(text)
+    enc = atoms.enc
+    parts = enc.find(text)
+    v = np.fromiter(map(atoms.cache.__getitem__, parts), dtype=np.int64, count=len(parts))
+    sizes = v & 0xFFFFF
+    whole = int(sizes.sum())
     if whole <= most:
         return [(0, 0, len(text), whole)]
     room = most - overlap
-    starts, sizes, marks = _atoms(enc, text, max(1, min(room, overlap or room) // 2))
-    m = len(starts)
-    starts = [*starts, len(text)]
-    upto = [0]
-    for n in sizes:
-        upto.append(upto[-1] + n)
+    limit = max(1, min(room, overlap or room) // 2)
+    is_cut = np.zeros(len(parts), dtype=bool)
+    if (sizes > limit).any():
+        cut = [(p, False) if n <= limit else (q, True) for p, n in zip(parts, sizes) for q in ([p] if n <= limit else _cut(p))]
+        parts, is_cut = [p for p, _ in cut], np.array([c for _, c in cut])
+        v = np.fromiter(map(atoms.cache.__getitem__, parts), dtype=np.int64, count=len(parts))
+        sizes = v & 0xFFFFF
+    m = len(parts)
+    starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=m))])
+    upto = np.concatenate([[0], np.cumsum(sizes)])
+    cuts_upto = np.concatenate([[0], np.cumsum(is_cut)])
+    blank = (v & Atoms.BLANK) != 0
+    kind = np.concatenate([levels(v), [PARAGRAPH]])
+    h, roll = (v >> 28).astype(np.uint64), np.zeros(m, dtype=np.uint64)
+    for k in range(min(BACK, m)):
+        with np.errstate(over="ignore"):
+            roll[k:] += h[: m - k] * np.uint64(pow(0x01000193, k, 1 << 64))
+    marks = np.flatnonzero(((roll ^ (roll >> np.uint64(29))) % np.uint64(SPACING)) == 0) + 1
+
+    def count(a: int, b: int) -> int:
+        """Tokens of atoms a to b as a text of their own: a blank end is one run there, cut pre-tokens merge anew."""
+        if cuts_upto[b] > cuts_upto[a]:
+            return enc.count(text[starts[a] : starts[b]])
+        e = b
+        while e > a and blank[e - 1]:
+            e -= 1
+        return int(upto[e] - upto[a]) + (len(enc.cache["".join(parts[e:b])]) if e < b else 0)
+
     pieces: list[tuple[int, int, int, int]] = []
-    i = 0
+    i, last = 0, 0
     while i < m:
-        end = i + 1
-        while end < m and upto[end + 1] - upto[i] <= room:
-            end += 1
+        end = max(i + 1, int(np.searchsorted(upto, upto[i] + room, side="right")) - 1)
         if end < m:
-            low = i + 1
-            while low < end and upto[low] - upto[i] < min(least, room // 2):
-                low += 1
-            mark = next((j for j in range(low, end) if marks[j - 1]), None)
-            levels = {j: level(text, starts[j]) for j in range(low, end + 1)}
-            if mark is not None:
-                near = [j for j in levels if abs(upto[j] - upto[mark]) <= 64]
-                best = max(levels[j] for j in near)
-                end = min((j for j in near if levels[j] == best), key=lambda j: (abs(upto[j] - upto[mark]), j))
+            low = min(end, max(i + 1, int(np.searchsorted(upto, upto[i] + min(least, room // 2)))))
+            at = np.searchsorted(marks, low)
+            if at < len(marks) and marks[at] < end:
+                mark = int(marks[at])
+                near = np.arange(max(low, int(np.searchsorted(upto, upto[mark] - 64))), min(end, int(np.searchsorted(upto, upto[mark] + 64, side="right")) - 1) + 1)
+                near = near[kind[near] == kind[near].max()]
+                end = int(near[np.argmin(np.abs(upto[near] - upto[mark]))])
             else:
-                best = max(levels.values())
-                end = max(j for j in levels if levels[j] == best)
+                k = kind[low : end + 1]
+                end = low + int(np.flatnonzero(k == k.max())[-1])
         start = i
-        while pieces and start > 0 and upto[i] - upto[start - 1] <= overlap and starts[start - 1] >= pieces[-1][0]:
-            start -= 1
-        while start < i and level(text, starts[start]) == 0:
-            start += 1
-        n = enc.count(text[starts[start] : starts[end]])
-        while n > most or (start < i and enc.count(text[starts[start] : starts[i]]) > overlap):
+        if pieces:
+            start = max(last, int(np.searchsorted(upto, upto[i] - overlap)))
+            while start < i and (kind[start] == 0 or count(start, i) > overlap):
+                start += 1
+        n = count(start, end)
+        while n > most and (start < i or end > i + 1):
             if start < i:
                 start += 1
-            elif end > i + 1:
-                end -= 1
             else:
-                break
-            n = enc.count(text[starts[start] : starts[end]])
-        pieces.append((starts[start], starts[i], starts[end], n))
-        i = end
+                end -= 1
+            n = count(start, end)
+        pieces.append((int(starts[start]), int(starts[i]), int(starts[end]), n))
+        last, i = start, end
     return pieces
 
 
+_ATOMS: dict[int, Atoms] = {}
+
+
+def worker_atoms(enc: Encoder) -> Atoms:
+    """This worker's atoms of an encoder."""
+    if id(enc) not in _ATOMS:
+        _ATOMS.clear()
+        _ATOMS[id(enc)] = Atoms(enc)
+    return _ATOMS[id(enc)]
+
+
 def split_texts(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = 512, overlap: int = 64, least: int = 128, path: str | None = None) -> DataFrame:
     """(key, piece, pieces, start, body, end, tokens, text): the ordered pieces of each text, in characters.
 
@@ -136,7 +174,7 @@ def split_texts(df: DataFrame, key: str = "doc_id", text: str = "text", most: in
     names = [key, "piece", "pieces", "start", "body", "end", "tokens", "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = worker_encoder(shared)
+        atoms = worker_atoms(worker_encoder(shared))
         for b in batches:
             for lot in range(0, b.num_rows, 256):
                 part = b.slice(lot, 256)
@@ -144,7 +182,7 @@ def split_texts(df: DataFrame, key: str = "doc_id", text: str = "text", most: in
                 for i, t in enumerate(part.column(1).to_pylist()):
                     if not t:
                         continue
-                    got = split_text(enc, t, most, overlap, least)
+                    got = split_text(atoms, t, most, overlap, least)
                     for j, (s, body, e, n) in enumerate(got):
                         for col, v in zip(rows, (i, j, len(got), s, body, e, n, t[s:e])):
                             col.append(v)
