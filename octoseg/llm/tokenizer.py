@@ -82,7 +82,23 @@ class PerfectHash:
         return self.ranks[s] if self.keys[s] == key else -1
 
 
-def merge_bytes(piece: bytes, table_: PerfectHash) -> list[int]:
+class Ranks(dict):
+    """Ranks of the byte strings that merges ask for again and again, or -1; emptied when it holds more than keep."""
+
+    def __init__(self, table_: PerfectHash, keep: int = 200_000) -> None:
+        self.table, self.keep = table_, keep
+        self.longest = max(map(len, table_.keys), default=0)
+
+    def __missing__(self, key: bytes) -> int:
+        if len(key) > self.longest:
+            return -1
+        if len(self) > self.keep:
+            self.clear()
+        r = self[key] = self.table.get(key)
+        return r
+
+
+def merge_bytes(piece: bytes, ranks: Ranks) -> list[int]:
     """The ids of a pre-token outside the vocabulary: a heap of adjacent pairs over linked bytes, lowest rank first.
 
     Each merge looks at its two neighbours only, so a piece of m bytes takes O(m log m).
@@ -91,32 +107,33 @@ def merge_bytes(piece: bytes, table_: PerfectHash) -> list[int]:
     end = list(range(1, m + 1))  # end[i]: where the part that begins at i ends; the next part begins there
     before = list(range(-1, m - 1))
     alive = [True] * m
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(i: int) -> None:
-        j = end[i]
-        if j < m:
-            r = table_.get(piece[i : end[j]])
-            if r >= 0:
-                heapq.heappush(heap, (r, i, end[j]))
-
+    heap: list[tuple[int, int, int]] = []  # (rank, where a pair begins, where it ends)
     for i in range(m - 1):
-        offer(i)
+        r = ranks[piece[i : i + 2]]
+        if r >= 0:
+            heap.append((r, i, i + 2))
+    heapq.heapify(heap)
+    pop, push = heapq.heappop, heapq.heappush
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] >= m or end[end[i]] != stop:
-            continue
+        _, i, stop = pop(heap)
         j = end[i]
+        if not alive[i] or j >= m or end[j] != stop:
+            continue
         alive[j] = False
         end[i] = stop
         if stop < m:
             before[stop] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
+            r = ranks[piece[i : end[stop]]]
+            if r >= 0:
+                push(heap, (r, i, end[stop]))
+        k = before[i]
+        if k >= 0:
+            r = ranks[piece[k:stop]]
+            if r >= 0:
+                push(heap, (r, k, stop))
     out, i = [], 0
     while i < m:
-        out.append(table_.get(piece[i : end[i]]))
+        out.append(ranks[piece[i : end[i]]])
         i = end[i]
     return out
 
@@ -128,9 +145,8 @@ class Encoder:
     """
 
     def __init__(self, table_: PerfectHash, keep: int = 200_000, pattern: str = PATTERN) -> None:
-        self.table, self.keep = table_, keep
+        self.table, self.keep, self.ranks = table_, keep, Ranks(table_, keep)
         self.find = regex.compile(pattern).findall
-        self.finditer = regex.compile(pattern).finditer
 
         outer = self
 
@@ -138,7 +154,7 @@ class Encoder:
             def __missing__(self, piece: str) -> tuple[int, ...]:
                 b = piece.encode("utf-8")
                 r = outer.table.get(b)
-                ids = (r,) if r >= 0 else tuple(merge_bytes(b, outer.table))
+                ids = (r,) if r >= 0 else tuple(merge_bytes(b, outer.ranks))
                 if len(b) <= 64:
                     self[piece] = ids
                 return ids
