@@ -8,6 +8,7 @@ from octoseg.llm.mixing import p9_found, p9_mix, p9_shares
 from octoseg.llm.near_duplicates import p3_found, p3_groups
 from octoseg.llm.neighbours import p2_found, p2_neighbours
 from octoseg.llm.quantiles import P5_SQL, p5_found, p5_percentiles
+from octoseg.llm.similarity_clusters import p7_clusters, p7_found
 from octoseg.llm.splitting import p10_found, p10_pieces
 from octoseg.llm.tokenizer import p8_ids
 from octoseg.runtime import Query
@@ -21,6 +22,8 @@ QUERIES: dict[str, Query] = {
     "p2_neighbours": p2_neighbours,
     "p3_found": p3_found,
     "p3_groups": p3_groups,
+    "p7_found": p7_found,
+    "p7_clusters": p7_clusters,
     "p8_ids": p8_ids,
     "p9_found": p9_found,
     "p9_mix": p9_mix,
