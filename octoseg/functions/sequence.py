@@ -121,8 +121,10 @@ def canonical_kmer(kmer: str | Column) -> Column:
 def kmers(seq: str | Column, k: int | Column, canonical: bool = True) -> Column:
     """The k-mers at every position in order, without those that have an N; too short a sequence has none."""
     s, kk = _c(seq), F.lit(k) if isinstance(k, int) else k
-    at = F.sequence(F.lit(1), F.greatest(F.length(s) - kk + 1, F.lit(1)))
-    every = F.filter(F.transform(at, lambda i: s.substr(i, kk)), lambda x: ~x.contains("N"))
+    step = 256  # a place in a string is found from its start, so long sequences are cut into overlapping chunks first
+    chunks = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - kk + 1, F.lit(1)), F.lit(step)), lambda c: s.substr(c, kk + (step - 1)))
+    every = F.flatten(F.transform(chunks, lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - kk + 1, F.lit(1))), lambda i: c.substr(i, kk))))
+    every = F.filter(every, lambda x: ~x.contains("N"))
     every = F.transform(every, canonical_kmer) if canonical else every
     return F.when(F.length(s) >= kk, every).otherwise(F.array().cast("array<string>"))
 

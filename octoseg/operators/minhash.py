@@ -157,12 +157,43 @@ def kmer_frequencies(df: DataFrame, keys: list[str], seq: str, k: int, canonical
     return df.select(*keys, F.explode(Q.kmers(seq, k, canonical)).alias("kmer")).groupBy(*keys, "kmer").agg(F.count("*").alias("n"))
 
 
+def kmer_counts(df: DataFrame, keys: list[str], seq: str, ks: list[int], canonical: bool = True) -> DataFrame:
+    """(*keys, k, total, distinct_kmers) of each sequence: k-mers without N and how many of them differ; one narrow pass.
+
+    A null sequence counts as empty.
+    """
+    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+    schema = StructType([*(df.schema[c] for c in keys), StructField("k", IntegerType()), StructField("total", LongType()), StructField("distinct_kmers", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, kk, total, distinct = [], [], [], []
+            for i, x in enumerate(b.column(len(keys)).to_pylist()):
+                raw = (x or "").encode()
+                at = np.flatnonzero(np.frombuffer(raw, np.uint8) == ord("N"))
+                for k in ks:
+                    n = max(0, len(raw) - k + 1)
+                    if n and len(at):
+                        hit = np.zeros(n + 1, np.int64)
+                        np.add.at(hit, np.maximum(at - k + 1, 0), 1)
+                        np.add.at(hit, np.minimum(at + 1, n), -1)
+                        n = int((np.cumsum(hit[:-1]) == 0).sum())
+                    rows.append(i)
+                    kk.append(k)
+                    total.append(n)
+                    distinct.append(len(unique_kmers(raw, k, canonical)))
+            at_ = pa.array(rows, pa.int32())
+            yield pa.RecordBatch.from_arrays([*(b.column(j).take(at_) for j in range(len(keys))), pa.array(kk, pa.int32()), pa.array(total, pa.int64()), pa.array(distinct, pa.int64())], names=[*keys, "k", "total", "distinct_kmers"])
+
+    return df.select(*keys, seq).mapInArrow(run, schema)
+
+
 def parameter_sweep(df: DataFrame, seq: str, ks: list[int] | None = None) -> DataFrame:
     """(k, mean_unique, std_unique, mean_total, mean_ratio) for each k (15, 17 to 31): all ks in one pass."""
-    ks = ks or list(range(15, 32, 2))
-    row = df.select(seq, F.explode(F.array(*map(F.lit, ks))).alias("k")).select("k", Q.kmers(seq, F.col("k")).alias("km"))
-    row = row.select("k", F.size("km").alias("total"), F.size(F.array_distinct("km")).alias("unique_"))
-    return row.groupBy("k").agg(F.avg("unique_").alias("mean_unique"), F.stddev_pop("unique_").alias("std_unique"), F.avg("total").alias("mean_total"), F.avg(F.when(F.col("total") > 0, F.col("unique_") / F.col("total")).otherwise(0.0)).alias("mean_ratio"))
+    c = kmer_counts(df, [], seq, ks or list(range(15, 32, 2)))
+    u, t = F.col("distinct_kmers"), F.col("total")
+    return c.groupBy("k").agg(F.avg(u).alias("mean_unique"), F.stddev_pop(u).alias("std_unique"), F.avg(t).alias("mean_total"), F.avg(F.when(t > 0, u / t).otherwise(0.0)).alias("mean_ratio"))
 
 
 def shared_kmer_pairs(df: DataFrame, key: str, seq: str, k: int, group: list[str] | None = None, most: int = 1000) -> DataFrame:
