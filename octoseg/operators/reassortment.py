@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from octoseg import config as C
@@ -150,20 +150,35 @@ def constellation_keys(profiles: DataFrame) -> DataFrame:
 
 
 def mate_sums(keys: DataFrame, signatures: DataFrame) -> DataFrame:
-    """(key, segment, sequence_id, n, s, q, group_n, group_s, group_q): sums of distances and their squares of each
-    record to its mates, and of all pairs of its group.
+    """(key, segment, sequence_id, n, s): the number of mates of each record in its group, and its distances' sum.
 
-    The number of equal lanes of a record with all its mates is a sum over lanes of how many mates have its value, so
-    the sums s come from counts by (group, lane, value); squares need the pairs themselves and come from a join within
-    the group. Groups are of one constellation, signatures (sequence_id, segment, lanes).
+    Lanes that a record shares with all its mates are counted from how many of them have its value in each lane, so the
+    work is linear in the records and no pair is made. Mates of another number of lanes are at distance 1.
     """
+    r = signatures.join(keys, "sequence_id").select("key", "segment", "sequence_id", F.size("lanes").alias("m"), "lanes")
+    size = r.groupBy("key", "segment").agg(F.count("*").alias("members"))
+    cells = stage(r.select("key", "segment", "sequence_id", "m", F.posexplode("lanes").alias("lane", "v")), "cells")
+    k = cells.groupBy("key", "segment", "m", "lane", "v").agg(F.count("*").alias("k")).where("k > 1")
+    same = cells.join(k, ["key", "segment", "m", "lane", "v"]).groupBy("key", "segment", "sequence_id").agg((F.sum(F.col("k") - 1) / F.first("m")).alias("same"))
+    own = r.select("key", "segment", "sequence_id").join(same, ["key", "segment", "sequence_id"], "left").join(size, ["key", "segment"])
+    return own.select("key", "segment", "sequence_id", (F.col("members") - 1).alias("n"), (F.col("members") - 1 - F.coalesce("same", F.lit(0.0))).alias("s"))
+
+
+def baselines(keys: DataFrame, signatures: DataFrame, most_pairs: int = 500) -> tuple[DataFrame, DataFrame]:
+    """(own, group): sums over a group's baseline pairs, of those of each member and of all: n, sum, sum of squares.
+
+    A group of at most most_pairs pairs has all of them; a larger one those of the members that come first by md5 of
+    their id, as many as have no more pairs. The sample is the screen's own setting; every record is scored against it.
+    """
+    members = int((1 + math.sqrt(1 + 8 * most_pairs)) / 2)
     r = signatures.join(keys, "sequence_id").select("key", "segment", "sequence_id", "lanes")
+    w = Window.partitionBy("key", "segment").orderBy(F.md5("sequence_id"), "sequence_id")
+    r = stage(r.withColumn("r", F.row_number().over(w)).where(F.col("r") <= members).drop("r"), "baseline")
     a, b = r.select("key", "segment", F.col("sequence_id").alias("a"), F.col("lanes").alias("la")), r.select("key", "segment", F.col("sequence_id").alias("b"), F.col("lanes").alias("lb"))
-    d = a.join(b, ["key", "segment"]).where("a < b").select("key", "segment", "a", "b", Q.lane_distance("la", "lb").alias("d"))
-    d = stage(d, "distances")
-    own = d.select("key", "segment", F.explode(F.array("a", "b")).alias("sequence_id"), "d").groupBy("key", "segment", "sequence_id").agg(F.count("*").alias("n"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q"))
-    g = d.groupBy("key", "segment").agg(F.count("*").alias("group_n"), F.sum("d").alias("group_s"), F.sum(F.col("d") * F.col("d")).alias("group_q"))
-    return own.join(g, ["key", "segment"])
+    d = stage(a.join(b, ["key", "segment"]).where("a < b").select("key", "segment", "a", "b", Q.lane_distance("la", "lb").alias("d")), "distances")
+    sums = [F.count("*").alias("n"), F.sum("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("q")]
+    own = d.select("key", "segment", F.explode(F.array("a", "b")).alias("sequence_id"), "d").groupBy("key", "segment", "sequence_id").agg(*sums)
+    return own, d.groupBy("key", "segment").agg(*sums)
 
 
 def distance_scores(keys: DataFrame, signatures: DataFrame, cfg: C.ReassortmentConfig | None = None) -> DataFrame:
@@ -174,15 +189,17 @@ def distance_scores(keys: DataFrame, signatures: DataFrame, cfg: C.ReassortmentC
     """
     cfg = cfg or C.ReassortmentConfig()
     sizes = keys.groupBy("key").agg(F.count("*").alias("members")).where(F.col("members") > cfg.min_constellation_mates)
-    m = mate_sums(keys.join(sizes, "key", "left_semi"), signatures)
-    m = stage(m, "mates")
-    base = m.select("key", "segment", "group_n", "group_s", "group_q").distinct().groupBy("segment").agg(F.sum("group_n").alias("bn"), F.sum("group_s").alias("bs"), F.sum("group_q").alias("bq"))
+    big = keys.join(sizes, "key", "left_semi")
+    m = mate_sums(big, signatures)
+    own, group = baselines(big, signatures, cfg.max_baseline_pairs)
+    base = group.groupBy("segment").agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"), F.sum("q").alias("tq"))
+    j = m.join(group.toDF("key", "segment", "gn", "gs", "gq"), ["key", "segment"]).join(own.toDF("key", "segment", "sequence_id", "bn", "bs", "bq"), ["key", "segment", "sequence_id"], "left")
+    j = j.join(F.broadcast(base), "segment")  # eight rows
     var = lambda s, q, n: F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))
-    j = m.join(F.broadcast(base), "segment")  # eight rows
-    ln, ls, lq = F.col("group_n") - F.col("n"), F.col("group_s") - F.col("s"), F.col("group_q") - F.col("q")
+    ln, ls, lq = (F.col(f"g{x}") - F.coalesce(f"b{x}", F.lit(0)) for x in "nsq")
     local = (ln >= cfg.min_segment_comparisons) & F.lit(cfg.stage2_baseline == "per_constellation")
-    mu = F.when(local, ls / ln).otherwise(F.col("bs") / F.col("bn"))
-    sigma = F.when(local, F.sqrt(var(ls, lq, ln))).otherwise(F.sqrt(var(F.col("bs"), F.col("bq"), F.col("bn"))))
+    mu = F.when(local, ls / ln).otherwise(F.col("ts") / F.col("tn"))
+    sigma = F.when(local, F.sqrt(var(ls, lq, ln))).otherwise(F.sqrt(var(F.col("ts"), F.col("tq"), F.col("tn"))))
     mean = F.col("s") / F.col("n")
     return j.where(F.col("n") >= cfg.min_segment_comparisons).select("sequence_id", "segment", mean.alias("mean"), mu.alias("mu"), F.greatest(sigma, F.lit(cfg.baseline_std_floor)).alias("sigma")).withColumn("z", (F.col("mean") - F.col("mu")) / F.col("sigma"))
 

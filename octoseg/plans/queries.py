@@ -250,7 +250,9 @@ def reference(spark: SparkSession, d: str) -> DataFrame:
 
 
 REF = f"ref as (select distinct subtype, segment_name as segment, concat_ws('/', version, cluster_id) as cluster_id, hex(centroid_signature) as c from clusters where is_active = 1 and segment_name is not null and subtype is not null and {USABLE.replace('kmer_signature', 'centroid_signature')})"
-_THRESHOLD_SQL = "case segment " + " ".join(f"when '{s}' then {C.ClusteringConfig().segment_thresholds[s]['same']}" for s in C.SEGMENTS) + " else 0.95 end + case subtype when 'H3N2' then -0.02 else 0 end"
+#: Sketches of 64 lanes lie about 0.7 from their centroid, so the stored clusters are matched at 0.6.
+LOOSE = C.ClusteringConfig(segment_thresholds={x: {"same": 0.6} for x in C.SEGMENTS})
+_THRESHOLD_SQL = "0.6 + case subtype when 'H3N2' then -0.02 else 0 end"
 
 
 @query(f"""{WITH}, {REF}, near as (select r.subtype, r.segment, r.sequence_id, 1 - {equal_sql('r.h', 'c.c')} / 64 as d, c.cluster_id from rec r join ref c using (subtype, segment)),
@@ -258,7 +260,7 @@ best as (select * from near qualify row_number() over (partition by subtype, seg
 j as (select r.subtype, r.segment, r.sequence_id, d, b.cluster_id as n, coalesce(d <= 1 - ({_THRESHOLD_SQL}) + 1e-12, false) as inside from rec r left join best b using (subtype, segment, sequence_id))
 select subtype, segment, sequence_id, case when inside then n end as cluster_id, round(coalesce(d, 1.0), 6) as distance, not inside as is_orphan, case when not inside then n end as nearest_cluster from j""")
 def assign_to_existing(spark: SparkSession, d: str) -> DataFrame:
-    return K.assign_to_existing(records(spark, d), reference(spark, d)).withColumn("distance", F.round("distance", 6))
+    return K.assign_to_existing(records(spark, d), reference(spark, d), LOOSE).withColumn("distance", F.round("distance", 6))
 
 
 @query()
@@ -279,13 +281,13 @@ def cluster_orphans(spark: SparkSession, d: str) -> DataFrame:
 _MEMBERS = f"{WITH}, m as (select subtype, segment, cluster_id, sequence_id, h from rec where cluster_id is not null and trim(cluster_id) <> '')"
 
 
-@query(f"{WITH}, {REF} select r.subtype, r.segment, r.cluster_id, count(*) as n, round(quantile_cont(1 - {equal_sql('r.h', 'c.c')} / 64, 0.9), 6) as radius, round(avg(1 - {equal_sql('r.h', 'c.c')} / 64), 6) as mean_distance from rec r join ref c on r.subtype = c.subtype and r.segment = c.segment and 'v1/' || r.cluster_id = c.cluster_id group by 1, 2, 3")
+@query(f"{WITH}, {REF} select r.subtype, r.segment, r.cluster_id, count(*) as n, round(quantile_cont(1 - {equal_sql('r.h', 'c.c')} / 64, 0.9), 9) as radius, round(avg(1 - {equal_sql('r.h', 'c.c')} / 64), 6) as mean_distance from rec r join ref c on r.subtype = c.subtype and r.segment = c.segment and 'v1/' || r.cluster_id = c.cluster_id group by 1, 2, 3")
 def cluster_radius(spark: SparkSession, d: str) -> DataFrame:
     """Radius (90th percentile) and mean distance of stored clusters' members to their centroid."""
     c = reference(spark, d)
     j = records(spark, d).withColumn("cluster_id", F.concat(F.lit("v1/"), "cluster_id")).join(c, ["subtype", "segment", "cluster_id"])
     dist = Q.lane_distance("lanes", "centroid")
-    return j.withColumn("_d", dist).groupBy("subtype", "segment", F.substring("cluster_id", 4, 100).alias("cluster_id")).agg(F.count("*").alias("n"), F.round(F.percentile("_d", F.lit(0.9)), 6).alias("radius"), F.round(F.avg("_d"), 6).alias("mean_distance"))
+    return j.withColumn("_d", dist).groupBy("subtype", "segment", F.substring("cluster_id", 4, 100).alias("cluster_id")).agg(F.count("*").alias("n"), F.round(F.percentile("_d", F.lit(0.9)), 9).alias("radius"), F.round(F.avg("_d"), 6).alias("mean_distance"))
 
 
 # --- profiles -------------------------------------------------------------------------------------------------------------------
@@ -357,13 +359,13 @@ al as (select *, list_position({SEG_LIST}, segment)::int - 1 as ord from (select
 
 
 @query(f"""{WITH}, r as (select allele_name, segment_name as segment, subtype_num, hex(centroid_signature) as c from allele_registry where is_active = 1 and {USABLE.replace('kmer_signature', 'centroid_signature')}),
-m as (select q.sequence_id, q.segment, r.allele_name, {equal_sql('q.h', 'r.c')} / 64 as sim, {_THRESHOLD_SQL.replace('segment ', 'q.segment ').replace('case subtype', 'case q.subtype')} as t from rec q join r on q.segment = r.segment and r.subtype_num = case when q.subtype = 'H3N2' then 3 else 1 end where q.subtype in ('H3N2', 'H1N1pdm09'))
+m as (select q.sequence_id, q.segment, r.allele_name, {equal_sql('q.h', 'r.c')} / 64 as sim, {_THRESHOLD_SQL.replace('case subtype', 'case q.subtype')} as t from rec q join r on q.segment = r.segment and r.subtype_num = case when q.subtype = 'H3N2' then 3 else 1 end where q.subtype in ('H3N2', 'H1N1pdm09'))
 select sequence_id || '|' || segment as query_id, allele_name, round(sim, 6) as similarity from m where sim >= t - 1e-12 qualify row_number() over (partition by sequence_id, segment order by sim desc, allele_name) = 1""")
 def allele_match(spark: SparkSession, d: str) -> DataFrame:
     """The best known allele of each record of a known subtype."""
     r = records(spark, d).where(F.col("subtype").isin(C.SUBTYPES))
     q = r.select(F.concat_ws("|", "sequence_id", "segment").alias("query_id"), "segment", "subtype", Q.subtype_number("subtype").alias("subtype_num"), "lanes")
-    q = q.join(F.broadcast(K.threshold_table(spark, C.SUBTYPES)), ["segment", "subtype"])  # sixteen rows
+    q = q.join(F.broadcast(K.threshold_table(spark, C.SUBTYPES, LOOSE)), ["segment", "subtype"])  # sixteen rows
     a = table(spark, d, "allele_registry").where("is_active = 1").where(Q.is_usable("centroid_signature")).select("allele_name", F.col("segment_name").alias("segment"), "subtype_num", Q.signature_lanes("centroid_signature").alias("lanes"))
     return N.best_match(q, a).withColumn("similarity", F.round("similarity", 6))
 
@@ -404,7 +406,7 @@ def allele_naming(spark: SparkSession, d: str) -> DataFrame:
 _PAIRS = f"with {LONG}, p as (select a.sequence_id, a.segment as seg_a, b.segment as seg_b, a.cluster_id as ca, b.cluster_id as cb from long a join long b on a.sequence_id = b.sequence_id and a.ord < b.ord where a.cluster_id is not null and b.cluster_id is not null)"
 _COUNTS = f"{_PAIRS}, ab as (select seg_a, seg_b, ca, cb, count(*) as n_ab from p group by all), cnt as (select *, (sum(n_ab) over (partition by seg_a, seg_b, ca))::bigint as n_a, (sum(n_ab) over (partition by seg_a, seg_b, cb))::bigint as n_b, (sum(n_ab) over (partition by seg_a, seg_b))::bigint as total from ab)"
 _LF = "lgamma(({})::double + 1)"
-_FISHER = f"{_COUNTS}, fx as (select seg_a, seg_b, ca, cb, n_ab, n_a, n_b, total, unnest(range(greatest(0, n_a + n_b - total), n_ab + 1)) as x from cnt), fi as (select seg_a, seg_b, ca, cb, n_ab, n_a, n_b, total, case when n_a = total or n_b = total then 1.0 else least(1.0, sum(exp({_LF.format('n_a')} + {_LF.format('total - n_a')} + {_LF.format('n_b')} + {_LF.format('total - n_b')} - {_LF.format('total')} - {_LF.format('x')} - {_LF.format('n_a - x')} - {_LF.format('n_b - x')} - {_LF.format('total - n_a - n_b + x')}))) end as p from fx group by all)"
+_FISHER = f"{_COUNTS}, fx as (select seg_a, seg_b, ca, cb, n_ab, n_a, n_b, total, unnest(range(greatest(0, n_a + n_b - total), n_ab + 1)) as x from cnt), fi as (select seg_a, seg_b, ca, cb, n_ab, n_a, n_b, total, case when n_a = total or n_b = total then 1.0 else least(1.0, sum(exp({_LF.format('n_a')} + {_LF.format('total - n_a')} + {_LF.format('n_b')} + {_LF.format('total - n_b')} - {_LF.format('total')} - {_LF.format('x')} - {_LF.format('n_a - x')} - {_LF.format('n_b - x')} - {_LF.format('total - n_a - n_b + x')}))) end as p from fx group by seg_a, seg_b, ca, cb, n_ab, n_a, n_b, total)"
 _SCORES = f"{_FISHER}, q as (select p.sequence_id, unnest([p.seg_a, p.seg_b]) as segment, least(greatest(fi.p, 1e-300), 1 - 1e-15) as p from p join fi using (seg_a, seg_b, ca, cb)), sc as (select sequence_id, segment, avg(case when p < 1e-15 then 1 / (p * pi()) else tan((0.5 - p) * pi()) end) as t from q group by 1, 2), scores as (select sequence_id, segment, least(1.0, greatest(0.0, case when t > 1e15 then 1 / t / pi() else 0.5 - atan(t) / pi() end)) as p from sc)"
 
 
@@ -481,10 +483,13 @@ def constellations_and_lanes(spark: SparkSession, d: str) -> tuple[DataFrame, Da
 
 _STAGE2 = f"""with {ISO}, {SEG}, {REC}, {LONG}, ky as (select sequence_id, '-.-.-.' || case when status = 'ORPHAN' then '?' else coalesce(cluster_id, '-') end || '.-.-.-.-' as key from long where segment = 'HA'),
 kk as (select * from ky where key in (select key from ky group by 1 having count(*) > 3)), r as (select key, segment, sequence_id, h from rec join kk using (sequence_id)),
-dd as (select a.key, a.segment, a.sequence_id as a, b.sequence_id as b, 1 - {equal_sql('a.h', 'b.h')} / 64 as d from r a join r b on a.key = b.key and a.segment = b.segment and a.sequence_id < b.sequence_id),
-own as (select key, segment, s as sequence_id, count(*) as n, sum(d) as s, sum(d * d) as q from (select key, segment, unnest([a, b]) as s, d from dd) group by 1, 2, 3),
-g as (select key, segment, count(*) as gn, sum(d) as gs, sum(d * d) as gq from dd group by 1, 2), b as (select segment, sum(gn) as bn, sum(gs) as bs, sum(gq) as bq from g group by 1),
-z as (select sequence_id, segment, own.s / n as mean, case when gn - n >= 3 then (gs - own.s) / (gn - n) else bs / bn end as mu, greatest(0.01, case when gn - n >= 3 then sqrt(greatest(0.0, (gq - own.q) / (gn - n) - power((gs - own.s) / (gn - n), 2))) else sqrt(greatest(0.0, bq / bn - power(bs / bn, 2))) end) as sigma from own join g using (key, segment) join b using (segment) where n >= 3)"""
+bm as (select * from r qualify row_number() over (partition by key, segment order by md5(sequence_id), sequence_id) <= 32),
+dd as (select a.key, a.segment, a.sequence_id as a, b.sequence_id as b, 1 - {equal_sql('a.h', 'b.h')} / 64 as d from bm a join bm b on a.key = b.key and a.segment = b.segment and a.sequence_id < b.sequence_id),
+mates as (select a.key, a.segment, a.sequence_id, count(*) as n, sum(1 - {equal_sql('a.h', 'b.h')} / 64) as s from r a join r b on a.key = b.key and a.segment = b.segment and a.sequence_id <> b.sequence_id group by 1, 2, 3),
+own as (select key, segment, s as sequence_id, count(*) as bn, sum(d) as bs, sum(d * d) as bq from (select key, segment, unnest([a, b]) as s, d from dd) group by 1, 2, 3),
+g as (select key, segment, count(*) as gn, sum(d) as gs, sum(d * d) as gq from dd group by 1, 2), b as (select segment, sum(gn) as tn, sum(gs) as ts, sum(gq) as tq from g group by 1),
+l as (select m.*, gn - coalesce(bn, 0) as ln, gs - coalesce(bs, 0) as ls, gq - coalesce(bq, 0) as lq, tn, ts, tq from mates m join g using (key, segment) join b using (segment) left join own using (key, segment, sequence_id)),
+z as (select sequence_id, segment, s / n as mean, case when ln >= 3 then ls / ln else ts / tn end as mu, greatest(0.01, case when ln >= 3 then sqrt(greatest(0.0, lq / ln - power(ls / ln, 2))) else sqrt(greatest(0.0, tq / tn - power(ts / tn, 2))) end) as sigma from l where n >= 3)"""
 
 
 @query(f"{_STAGE2} select sequence_id, segment, round(mean, 6) as mean, round(mu, 6) as mu, round(sigma, 5) as sigma, round((mean - mu) / sigma, 4) as z from z")
