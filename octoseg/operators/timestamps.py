@@ -49,10 +49,6 @@ DIGITS = {"digits_date": (8, None), "unix_s": (10, 1_000_000), "unix_ms": (13, 1
 DAY_DOTS_MONTH_SLASHES = {"mdy_dot": 0.0, "dmy_slash": 0.0}
 
 
-def _group(v: Column, pattern: str, i: int) -> Column:
-    return F.nullif(F.regexp_extract(v, pattern, i), F.lit(""))
-
-
 def _int(v: Column) -> Column:
     return v.try_cast("int")
 
@@ -65,11 +61,11 @@ def _month(v: Column) -> Column:
     return F.coalesce(_int(v), named)
 
 
-def _reading(v: Column, name: str, pattern: str, y: int, m: int, d: int) -> Column:
-    """A struct of one reading: local microseconds as if in UTC, the zone text and whether there is a time; null if it isn't valid."""
-    hour, minute, second, fraction, half = (_group(v, pattern, 4 + i) for i in range(5))
-    zone = _group(v, pattern, 9)
-    day = F.try_make_timestamp_ntz(_int(_group(v, pattern, y)), _month(_group(v, pattern, m)), _int(_group(v, pattern, d)), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
+def _reading(x: Column) -> Column:
+    """One reading of a candidate (format, g, y, m, d): local microseconds as if in UTC, the zone text and whether there is a time; null if it isn't valid."""
+    g = lambda i: F.nullif(F.get(x["g"], i), F.lit(""))
+    hour, minute, second, fraction, half, zone = (g(F.lit(i)) for i in range(3, 9))
+    day = F.try_make_timestamp_ntz(_int(g(x["y"] - 1)), _month(g(x["m"] - 1)), _int(g(x["d"] - 1)), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
     days = F.datediff(day.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
     h = _int(hour)
     h24 = F.when(half.isNull(), h).when((h >= 1) & (h <= 12), h % 12 + F.when(F.upper(half) == "PM", 12).otherwise(0))
@@ -77,23 +73,26 @@ def _reading(v: Column, name: str, pattern: str, y: int, m: int, d: int) -> Colu
     us = F.coalesce(_int(F.substring(F.rpad(fraction, 6, "0"), 1, 6)), F.lit(0))
     clock = F.when(hour.isNull(), F.lit(0).cast("long")).when((h24 <= 23) & (_int(minute) <= 59) & (s <= 59), ((h24 * 3600 + _int(minute) * 60 + s).cast("long") * 1_000_000 + us))
     local = days * 86_400_000_000 + clock
-    return F.when(v.rlike(pattern) & local.isNotNull(), F.struct(F.lit(name).alias("format"), local.alias("local_us"), zone.alias("zone"), hour.isNotNull().alias("timed"), F.lit(False).alias("instant")))
+    return F.when(local.isNotNull(), F.struct(x["format"].alias("format"), local.alias("local_us"), zone.alias("zone"), hour.isNotNull().alias("timed"), F.lit(False).alias("instant")))
 
 
 def readings(value: str | Column) -> Column:
     """All valid readings of a text: an array of (format, local_us, zone, timed, instant); empty if there is none.
 
-    Outer blanks don't count. Digits finer than a microsecond are cut. instant marks Unix times.
+    Outer blanks don't count. Digits finer than a microsecond are cut. instant marks Unix times. A pattern that matches
+    is taken apart once; the parts are read in one place for all formats.
     """
     v = F.regexp_replace(F.col(value) if isinstance(value, str) else value, r"(?U)^\s+|\s+$", "")
-    out = [_reading(v, *f) for f in FORMATS]
-    size = F.length(v)
-    digits = v.rlike(r"^\d+$")
+    parts = "|".join(f"${i}" for i in range(1, 10))
+    found = [F.when(v.rlike(p), F.struct(F.lit(n).alias("format"), F.split(F.regexp_replace(v, p, parts), r"\|").alias("g"), F.lit(y).alias("y"), F.lit(m).alias("m"), F.lit(d).alias("d"))) for n, p, y, m, d in FORMATS]
+    out = F.transform(F.filter(F.array(*found), lambda x: x.isNotNull()), _reading)
     day = F.try_make_timestamp_ntz(_int(F.substring(v, 1, 4)), _int(F.substring(v, 5, 2)), _int(F.substring(v, 7, 2)), F.lit(0), F.lit(0), F.lit(0).cast("decimal(16,6)"))
-    for name, (n, unit) in DIGITS.items():
-        local = F.datediff(day.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000 if unit is None else v.try_cast("long") * unit
-        out.append(F.when(digits & (size == n) & local.isNotNull(), F.struct(F.lit(name).alias("format"), local.alias("local_us"), F.lit(None).cast("string").alias("zone"), F.lit(unit is not None).alias("timed"), F.lit(unit is not None).alias("instant"))))
-    return F.filter(F.array(*out), lambda x: x.isNotNull())
+    units = F.create_map(*(F.lit(x) for n, u in DIGITS.values() for x in (n, 0 if u is None else u)))
+    names = F.create_map(*(F.lit(x) for k, (n, _) in DIGITS.items() for x in (n, k)))
+    unit = units[F.length(v)]
+    local = F.when(unit == 0, F.datediff(day.cast("date"), F.lit("1970-01-01").cast("date")).cast("long") * 86_400_000_000).otherwise(v.try_cast("long") * unit)
+    digits = F.when(v.rlike(r"^\d+$") & local.isNotNull(), F.struct(names[F.length(v)].alias("format"), local.alias("local_us"), F.lit(None).cast("string").alias("zone"), (unit > 0).alias("timed"), (unit > 0).alias("instant")))
+    return F.filter(F.concat(out, F.array(digits)), lambda x: x.isNotNull())
 
 
 def offset_minutes(zone: Column) -> Column:
@@ -106,6 +105,11 @@ def offset_minutes(zone: Column) -> Column:
     return F.when((F.length(o) > 0) & (hours <= 18) & (minutes <= 59), sign * (hours * 60 + minutes)).otherwise(names[F.upper(zone)])
 
 
+def known_zones(spark) -> list[str]:
+    """The zone names this Java knows; any other would end a query."""
+    return sorted(str(spark._jvm.java.time.ZoneId.getAvailableZoneIds().toString()).strip("[]").split(", "))
+
+
 def local_to_utc(local_us: Column, zone: Column) -> Column:
     """Microseconds UTC of a local time in an IANA zone: the first of two, null if the clocks skip it."""
     local = F.timestamp_micros(local_us)  # the local time as if it were UTC, whatever the session's zone
@@ -177,7 +181,8 @@ def normalise(df: DataFrame, value: str, source: str, zone: str, declared: dict[
     named = F.when(z.startswith("["), F.regexp_replace(z, r"[\[\]]", ""))
     off = F.when(named.isNull(), offset_minutes(z))
     local = F.col("_r.local_us")
-    there = F.coalesce(named, F.col(zone))
+    ids = known_zones(df.sparkSession)
+    there = F.coalesce(F.when(named.isin(ids), named), F.when(named.isNull() & F.col(zone).isin(ids), F.col(zone)))
     utc = (
         F.when(F.col("_r.instant"), local)
         .when(off.isNotNull(), local - off.cast("long") * 60_000_000)
@@ -187,7 +192,7 @@ def normalise(df: DataFrame, value: str, source: str, zone: str, declared: dict[
         .otherwise(start_of_day(local, there))
     )
     state = (
-        F.when(F.col("_r").isNull() | (z.isNotNull() & named.isNull() & off.isNull() & ~F.col("_r.instant")), "invalid")
+        F.when(F.col("_r").isNull() | (z.isNotNull() & named.isNull() & off.isNull() & ~F.col("_r.instant")) | ~F.coalesce(named.isin(ids), F.lit(True)), "invalid")
         .when(F.col("posterior") < sure, "ambiguous")
         .when(~F.col("_r.instant") & off.isNull() & there.isNull(), "no_zone")
         .when(utc.isNull(), "skipped")
