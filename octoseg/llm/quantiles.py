@@ -14,53 +14,56 @@ from octoseg.runtime import broadcast_if_small, table
 
 #: Lots of summaries of a group after each level of merging.
 LEVELS = (256, 16, 1)
-SUMMARY = [StructField("value", DoubleType()), StructField("rmin", LongType()), StructField("rmax", LongType()), StructField("n", LongType()), StructField("err", LongType())]
+#: Bounds of how many values are less than a tuple's value, and of how many are not greater.
+BOUNDS = ["lt_lo", "lt_hi", "le_lo", "le_hi"]
+SUMMARY = [StructField("value", DoubleType()), *(StructField(c, LongType()) for c in (*BOUNDS, "n", "err"))]
 
 
 def summarise(values: np.ndarray) -> pd.DataFrame:
-    """The exact summary of some values: each distinct value with its lowest and highest rank (from 1)."""
+    """The exact summary of some values: each distinct value with its rank interval."""
     v, k = np.unique(values, return_counts=True)
-    hi = np.cumsum(k)
-    return pd.DataFrame({"value": v, "rmin": hi - k + 1, "rmax": hi})
+    upto = np.cumsum(k)
+    return pd.DataFrame({"value": v, "lt_lo": upto - k, "lt_hi": upto - k, "le_lo": upto, "le_hi": upto})
 
 
 def merge(a: pd.DataFrame, na: int, b: pd.DataFrame, nb: int) -> pd.DataFrame:
-    """A summary of both: ranks of a value are its own plus what the other summary proves about values beside it.
+    """A summary of both: what the other summary proves about a value is added to its own bounds.
 
-    A tuple (value, rmin, rmax) says: the first occurrence ranks rmin or higher, the last rmax or lower.
+    Equal values add up exactly. A value between two tuples of the other has at least as many values below it as the
+    lower one is known to have up to itself, and at most as many as may be less than the upper one.
     """
     if not len(a) or not len(b):
         return a if len(a) else b
 
-    def lifted(x: pd.DataFrame, y: pd.DataFrame, ny: int) -> tuple[np.ndarray, np.ndarray]:
-        yv, lo, hi = y["value"].to_numpy(), y["rmin"].to_numpy(), y["rmax"].to_numpy()
-        below = np.searchsorted(yv, x["value"].to_numpy(), side="left") - 1  # the last tuple of y under x
-        above = np.searchsorted(yv, x["value"].to_numpy(), side="right")  # the first tuple of y over x
-        add_min = np.where(below >= 0, lo[np.maximum(below, 0)], 0)
-        add_max = np.where(above < len(yv), hi[np.minimum(above, len(yv) - 1)] - 1, ny)
-        return x["rmin"].to_numpy() + add_min, x["rmax"].to_numpy() + add_max
+    def lifted(x: pd.DataFrame, y: pd.DataFrame, ny: int) -> pd.DataFrame:
+        xv, yv = x["value"].to_numpy(), y["value"].to_numpy()
+        below, above = np.searchsorted(yv, xv, side="left") - 1, np.searchsorted(yv, xv, side="right")
+        low = np.where(below >= 0, y["le_lo"].to_numpy()[np.maximum(below, 0)], 0)
+        high = np.where(above < len(yv), y["lt_hi"].to_numpy()[np.minimum(above, len(yv) - 1)], ny)
+        same = above - below > 1
+        at = np.minimum(below + 1, len(yv) - 1)
+        add = {c: np.where(same, y[c].to_numpy()[at], low if c.endswith("lo") else high) for c in BOUNDS}
+        return pd.DataFrame({"value": xv, **{c: x[c].to_numpy() + add[c] for c in BOUNDS}})
 
-    la, ha = lifted(a, b, nb)
-    lb, hb = lifted(b, a, na)
-    out = pd.DataFrame({"value": np.concatenate([a["value"], b["value"]]), "rmin": np.concatenate([la, lb]), "rmax": np.concatenate([ha, hb])})
-    return out.groupby("value", as_index=False).agg(rmin=("rmin", "min"), rmax=("rmax", "max"))
+    out = pd.concat([lifted(a, b, nb), lifted(b, a, na)]).drop_duplicates("value")
+    return out.sort_values("value").reset_index(drop=True)
 
 
 def compress(s: pd.DataFrame, n: int, size: int) -> pd.DataFrame:
-    """At most about size tuples: the ends, and the last tuple at or under each of size even ranks."""
+    """At most about size tuples: the ends, and the tuple that holds each of size even ranks."""
     if len(s) <= size + 2:
         return s
-    at = np.searchsorted(s["rmin"].to_numpy(), np.linspace(1, n, size), side="right") - 1
+    at = np.minimum(np.searchsorted(s["le_hi"].to_numpy(), np.linspace(1, n, size), side="left"), len(s) - 1)
     return s.iloc[np.unique(np.concatenate([[0], at, [len(s) - 1]]))].reset_index(drop=True)
 
 
 def uncertainty(s: pd.DataFrame) -> int:
-    """The largest number of ranks between a tuple's lowest and its successor's highest: twice the rank error."""
+    """The largest number of ranks a summary leaves open: within a tuple's bounds or between two tuples."""
     if not len(s):
         return 0
-    lo, hi = s["rmin"].to_numpy(), s["rmax"].to_numpy()
-    own = (hi - lo).max()
-    return int(max(own, (hi[1:] - lo[:-1]).max())) if len(s) > 1 else int(own)
+    v = {c: s[c].to_numpy() for c in BOUNDS}
+    own = max((v["lt_hi"] - v["lt_lo"]).max(), (v["le_hi"] - v["le_lo"]).max())
+    return int(max(own, (v["lt_hi"][1:] - v["le_lo"][:-1]).max())) if len(s) > 1 else int(own)
 
 
 def _merge_many(parts: list[tuple[pd.DataFrame, int]], size: int) -> tuple[pd.DataFrame, int]:
@@ -74,7 +77,7 @@ def _merge_many(parts: list[tuple[pd.DataFrame, int]], size: int) -> tuple[pd.Da
 
 
 def quantile_summaries(df: DataFrame, group: list[str], value: str, eps: float = 0.001) -> DataFrame:
-    """(*group, value, rmin, rmax, n, err): one mergeable summary for each group.
+    """(*group, value, lt_lo, lt_hi, le_lo, le_hi, n, err): one mergeable summary for each group.
 
     Each partition keeps one summary for each group, compressed to 2 / eps tuples as batches arrive; summaries are
     merged in LEVELS lots,
@@ -110,7 +113,7 @@ def quantile_summaries(df: DataFrame, group: list[str], value: str, eps: float =
             yield tidy(key, s, n, part)
 
     def level(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [(x[["value", "rmin", "rmax"]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("part", sort=True)]
+        parts = [(x[["value", *BOUNDS]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("part", sort=True)]
         s, n = _merge_many(parts, size)
         return tidy(key[:-1], s, n, int(key[-1]))
 
@@ -131,7 +134,7 @@ def merge_summaries(*parts: DataFrame, group: list[str], eps: float = 0.001) ->
     names = [f.name for f in schema]
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        s, n = _merge_many([(x[["value", "rmin", "rmax"]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("part", sort=True)], size)
+        s, n = _merge_many([(x[["value", *BOUNDS]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("part", sort=True)], size)
         out = s.copy()
         for g, k in zip(group, key):
             out[g] = [k] * len(out)
@@ -147,8 +150,8 @@ def rank_bounds(summaries: DataFrame, group: list[str], p: float) -> DataFrame:
     first, last = F.floor(r) + 1, F.ceil(r) + 1
     return summaries.groupBy(*group).agg(
         F.first("n").alias("n"),
-        F.coalesce(F.max(F.when(F.col("rmax") <= first, F.col("value"))), F.min("value")).alias("low"),
-        F.coalesce(F.min(F.when(F.col("rmin") >= last, F.col("value"))), F.max("value")).alias("high"),
+        F.coalesce(F.max(F.when(F.col("lt_hi") < first, F.col("value"))), F.min("value")).alias("low"),
+        F.coalesce(F.min(F.when(F.col("le_lo") >= last, F.col("value"))), F.max("value")).alias("high"),
     )
 
 
@@ -156,7 +159,7 @@ def approximate_percentiles(summaries: DataFrame, group: list[str], ps: list[flo
     """(*group, p, value, n, err): a value whose rank is off by no more than err."""
     s = summaries.select("*", F.explode(F.array(*(F.lit(float(p)) for p in ps))).alias("p"))
     r = F.lit(1) + F.col("p") * (F.col("n") - 1)
-    off = F.greatest(F.abs(r - F.col("rmin")), F.abs(F.col("rmax") - r))
+    off = F.greatest(F.col("lt_hi") + 1 - r, r - F.col("le_lo"), F.lit(0.0))
     return s.groupBy(*group, "p").agg(F.min_by("value", F.struct(off, F.col("value"))).alias("value"), F.first("n").alias("n"), F.first("err").alias("err"))
 
 
@@ -166,20 +169,21 @@ def exact_percentile(df: DataFrame, group: list[str], value: str, p: float, eps:
     The summaries' bounds enclose the order statistics it needs; a second pass counts what lies under the lower bound
     and ranks only the distinct values between the bounds, about 2 eps of a group.
     """
-    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value))
-    bounds = rank_bounds(quantile_summaries(rows, group, value, eps), group, p)
+    rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*group, F.col(value).cast("double").alias("_v"))
+    bounds = rank_bounds(quantile_summaries(rows, group, "_v", eps), group, p)
     on = F.lit(True)
-    b = bounds.select(*(F.col(g).alias(f"_{g}") for g in group), "n", "low", "high")
+    b = bounds.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("n").alias("_n"), F.col("low").alias("_low"), F.col("high").alias("_high"))
     for g in group:
         on = on & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    j = rows.join(broadcast_if_small(b), on).where(F.col(value) <= F.col("high")).select(*group, "n", "low", F.col(value).alias("_v"))
-    c = j.groupBy(*group, "n", F.when(F.col("_v") < F.col("low"), F.lit(None)).otherwise(F.col("_v")).alias("_v")).agg(F.count("*").alias("k"))
-    w = Window.partitionBy(*group).orderBy(F.col("_v").asc_nulls_first())
-    c = c.withColumn("upto", F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_v is not null")
-    r = F.lit(p) * (F.col("n") - 1)
-    lo = F.min(F.when(F.col("upto") >= F.floor(r) + 1, F.col("_v")))
-    hi = F.min(F.when(F.col("upto") >= F.ceil(r) + 1, F.col("_v")))
-    return c.groupBy(*group, "n").agg(lo.alias("lo"), hi.alias("hi")).select(*group, "n", (F.col("lo") + (r - F.floor(r)) * (F.col("hi") - F.col("lo"))).alias("q"))
+    j = rows.join(broadcast_if_small(b), on).where("_v <= _high")
+    c = j.groupBy(*group, "_n", F.when(F.col("_v") < F.col("_low"), F.lit(None)).otherwise(F.col("_v")).alias("_x")).agg(F.count("*").alias("_k"))
+    w = Window.partitionBy(*group).orderBy(F.col("_x").asc_nulls_first())
+    c = c.withColumn("_upto", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_x is not null")
+    r = F.lit(p) * (F.col("_n") - 1)
+    lo = F.min(F.when(F.col("_upto") >= F.floor(r) + 1, F.col("_x")))
+    hi = F.min(F.when(F.col("_upto") >= F.ceil(r) + 1, F.col("_x")))
+    c = c.groupBy(*group, "_n").agg(lo.alias("_lo"), hi.alias("_hi"))
+    return c.select(*group, F.col("_n").alias("n"), (F.col("_lo") + (r - F.floor(r)) * (F.col("_hi") - F.col("_lo"))).alias("q"))
 
 
 GROUP = ["segment_name", "is_orphan"]
@@ -202,11 +206,11 @@ def p5_percentiles(spark, sf_dir: str) -> DataFrame:
     """Approximate percentiles by group: summaries of each cluster version, merged."""
     d = table(spark, sf_dir, "segment_kmers").select("id", *GROUP, "cluster_version", "distance_to_centroid").where("distance_to_centroid between 0 and 1 and is_orphan is not null and id is not null").distinct()
     by = quantile_summaries(d, [*GROUP, "cluster_version"], "distance_to_centroid")
-    names = ["value", "rmin", "rmax", "n", "err"]
+    names = ["value", *BOUNDS, "n", "err"]
     schema = StructType([d.schema[g] for g in GROUP] + SUMMARY)
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        s, n = _merge_many([(x[names[:3]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("cluster_version", sort=True, dropna=False)], 2000)
+        s, n = _merge_many([(x[names[:5]].reset_index(drop=True), int(x["n"].iloc[0])) for _, x in pdf.groupby("cluster_version", sort=True, dropna=False)], 2000)
         out = s.assign(segment_name=key[0], is_orphan=key[1], n=n, err=uncertainty(s))
         return out[[*GROUP, *names]]
 

@@ -52,11 +52,11 @@ class Atoms:
         return v | xxhash.xxh32_intdigest(p) << 28
 
 
-def _cut(piece: str) -> list[str]:
-    """Atoms of a long pre-token: they end where the hash of the last letters says so, at ATOM letters at the latest."""
+def _cut(piece: str, longest: int = ATOM) -> list[str]:
+    """Atoms of a long pre-token: they end where the hash of the last letters says so, at longest letters at the latest."""
     begin, out = 0, []
     for i in range(1, len(piece) + 1):
-        if i == len(piece) or i - begin >= ATOM or (i - begin >= 8 and xxhash.xxh32_intdigest(piece[i - BACK : i]) % 32 == 0):
+        if i == len(piece) or i - begin >= longest or (i - begin >= 8 and xxhash.xxh32_intdigest(piece[i - BACK : i]) % 32 == 0):
             out.append(piece[begin:i])
             begin = i
     return out
@@ -93,9 +93,10 @@ def split_text(atoms: Atoms, text: str, most: int = 512, overlap: int = 64, leas
         return [(0, 0, len(text), whole)]
     room = most - overlap
     limit = max(1, min(room, overlap or room) // 2)
+    letters = max(1, min(ATOM, room // 4))  # a letter has four tokens at most
     is_cut = np.zeros(len(parts), dtype=bool)
     if (sizes > limit).any():
-        cut = [(p, False) if n <= limit else (q, True) for p, n in zip(parts, sizes) for q in ([p] if n <= limit else _cut(p))]
+        cut = [(p, False) if n <= limit else (q, True) for p, n in zip(parts, sizes) for q in ([p] if n <= limit else _cut(p, letters))]
         parts, is_cut = [p for p, _ in cut], np.array([c for _, c in cut])
         v = np.fromiter(map(atoms.cache.__getitem__, parts), dtype=np.int64, count=len(parts))
         sizes = v & 0xFFFFF
