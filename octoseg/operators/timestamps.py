@@ -163,7 +163,7 @@ def normalise(df: DataFrame, value: str, source: str, zone: str, declared: dict[
     time that the clocks leave out). A zone, offset or abbreviation in the text holds over the column `zone`; a date
     alone is the start of the local day. Columns of these names in df are replaced; an empty table stays empty.
     """
-    own = ["utc_us", "format", "posterior", "state", "readings", "_w", "_r", "_src"]
+    own = ["utc_us", "format", "posterior", "state", "readings", "_w", "_r", "_src", "_there", "_zn"]
     base = df.drop(*[c for c in df.columns if c in own and c not in (value, source, zone)])
     read = base.withColumn("readings", F.coalesce(readings(value), F.array()))
     read = read.withColumn("_src", F.coalesce(F.col(source).cast("string"), F.lit("")))
@@ -181,8 +181,9 @@ def normalise(df: DataFrame, value: str, source: str, zone: str, declared: dict[
     named = F.when(z.startswith("["), F.regexp_replace(z, r"[\[\]]", ""))
     off = F.when(named.isNull(), offset_minutes(z))
     local = F.col("_r.local_us")
-    ids = known_zones(df.sparkSession)
-    there = F.coalesce(F.when(named.isin(ids), named), F.when(named.isNull() & F.col(zone).isin(ids), F.col(zone)))
+    zones = df.sparkSession.createDataFrame([(x,) for x in known_zones(df.sparkSession)], "_zn string")
+    j = j.withColumn("_there", F.coalesce(named, F.col(zone))).join(F.broadcast(zones), F.col("_there") == F.col("_zn"), "left")  # the zone names of Java, about 600
+    there = F.col("_zn")
     utc = (
         F.when(F.col("_r.instant"), local)
         .when(off.isNotNull(), local - off.cast("long") * 60_000_000)
@@ -192,14 +193,14 @@ def normalise(df: DataFrame, value: str, source: str, zone: str, declared: dict[
         .otherwise(start_of_day(local, there))
     )
     state = (
-        F.when(F.col("_r").isNull() | (z.isNotNull() & named.isNull() & off.isNull() & ~F.col("_r.instant")) | ~F.coalesce(named.isin(ids), F.lit(True)), "invalid")
+        F.when(F.col("_r").isNull() | (z.isNotNull() & named.isNull() & off.isNull() & ~F.col("_r.instant")) | (named.isNotNull() & there.isNull()), "invalid")
         .when(F.col("posterior") < sure, "ambiguous")
         .when(~F.col("_r.instant") & off.isNull() & there.isNull(), "no_zone")
         .when(utc.isNull(), "skipped")
         .otherwise("ok")
     )
     j = j.withColumns({"state": state, "utc_us": utc, "format": F.col("_r.format")})
-    return j.withColumn("utc_us", F.when(F.col("state") == "ok", F.col("utc_us"))).drop("readings", "_w", "_r", "_src")
+    return j.withColumn("utc_us", F.when(F.col("state") == "ok", F.col("utc_us"))).drop("readings", "_w", "_r", "_src", "_there", "_zn")
 
 
 def isolate_dates(sequences: DataFrame, sites: DataFrame, declared: dict[str, float] | None = None) -> DataFrame:
