@@ -7,6 +7,7 @@ from octoseg.llm.history_index import p6_checked, p6_found
 from octoseg.llm.mixing import p9_found, p9_mix, p9_shares
 from octoseg.llm.near_duplicates import p3_found, p3_groups
 from octoseg.llm.neighbours import p2_found, p2_neighbours
+from octoseg.llm.oracles import SIGNATURE_SQL
 from octoseg.llm.quantiles import P5_SQL, p5_found, p5_percentiles
 from octoseg.llm.similarity_clusters import p7_clusters, p7_found
 from octoseg.llm.splitting import p10_found, p10_pieces
@@ -33,4 +34,4 @@ QUERIES: dict[str, Query] = {
     "p6_found": p6_found,
     "p6_checked": p6_checked,
 }
-SQL: dict[str, str] = P1_SQL | P5_SQL
+SQL: dict[str, str] = P1_SQL | P5_SQL | SIGNATURE_SQL

@@ -235,16 +235,16 @@ def linked_components(cls: DataFrame, blocks: DataFrame, threshold: float) -> Da
 
 
 def similarity_clusters(seg: DataFrame, threshold: float = 0.25, least: int = 3, k: int = 256) -> DataFrame:
-    """(segment_name, sequence_id, typical_id, size, centre_off): members of clusters of at least `least` records.
+    """(cluster, segment_name, sequence_id, typical_id, size, centre_off): members of clusters of at least `least` records.
 
     seg has sequence_id, segment_name, kmer_signature, distance_to_centroid. typical_id is the member with the smallest
     distance from 0 to 1 (ties: the smaller id), null if no member has one; centre_off is the squared distance of the
-    member to its k-means centre. Unusable signatures and null ids take no part; an empty table gives no rows.
+    member to its k-means centre; cluster tells clusters of one call apart. Unusable signatures and null ids take no part; an empty table gives no rows.
     """
     rec = seg.where("sequence_id is not null and segment_name is not null").select("sequence_id", "segment_name", "kmer_signature", "distance_to_centroid")
     cls = S.classes(rec)
     if cls.isEmpty():
-        return cls.sparkSession.createDataFrame([], "segment_name string, sequence_id string, typical_id string, size long, centre_off double")
+        return cls.sparkSession.createDataFrame([], "cluster long, segment_name string, sequence_id string, typical_id string, size long, centre_off double")
     counts, _ = S.rarity(cls)
     blocks = stage(KMeans(cls, counts, k).assign(), "blocks")
     comp = linked_components(cls, blocks, threshold)
@@ -253,7 +253,7 @@ def similarity_clusters(seg: DataFrame, threshold: float = 0.25, least: int = 3,
     best = rec.where(ok).groupBy("segment_name", "sequence_id").agg(F.min("distance_to_centroid").alias("d"))
     mem = mem.groupBy("component", "segment_name", "sequence_id").agg(F.min("off").alias("centre_off")).join(best, ["segment_name", "sequence_id"], "left")
     top = mem.groupBy("component").agg(F.count("*").alias("size"), F.min(F.when(F.col("d").isNotNull(), F.struct("d", "sequence_id"))).alias("top")).where(F.col("size") >= least)
-    return mem.join(top, "component").select("segment_name", "sequence_id", F.col("top.sequence_id").alias("typical_id"), "size", "centre_off")
+    return mem.join(top, "component").select(F.col("component").alias("cluster"), "segment_name", "sequence_id", F.col("top.sequence_id").alias("typical_id"), "size", "centre_off")
 
 
 def provisional(spark, sf_dir: str) -> DataFrame:
@@ -267,5 +267,5 @@ def p7_found(spark, sf_dir: str) -> DataFrame:
 def p7_clusters(spark, sf_dir: str) -> DataFrame:
     """Each cluster's size, typical member and the members nearest its centre."""
     m = similarity_clusters(provisional(spark, sf_dir))
-    r = m.withColumn("r", F.row_number().over(Window.partitionBy("segment_name", "typical_id", "size").orderBy("centre_off", "sequence_id"))).where("r <= 3")
-    return r.groupBy("segment_name", "typical_id", "size").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "sequence_id"))), lambda x: x["sequence_id"]).alias("nearest"))
+    r = m.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy("centre_off", "sequence_id"))).where("r <= 3")
+    return r.groupBy("cluster", "segment_name", "typical_id", "size").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "sequence_id"))), lambda x: x["sequence_id"]).alias("nearest")).drop("cluster")

@@ -158,7 +158,7 @@ def test_similarity_clusters(df, empty):
         sets.setdefault(c, []).append(k)
     want = {(*m, min((d[x], x[1]) for x in ms if x in d)[1] if any(x in d for x in ms) else None, len(ms)) for ms in sets.values() if len(ms) >= 3 for m in ms}
     for k in (256, 2):
-        assert {(r[0], r[1], r[2], r[3]) for r in C.similarity_clusters(df, k=k).collect()} == want
+        assert {(r[1], r[2], r[3], r[4]) for r in C.similarity_clusters(df, k=k).collect()} == want
     assert C.similarity_clusters(empty).count() == 0
 
 
