@@ -188,10 +188,10 @@ def kmer_frequencies(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""with {DNA}, ks as (select doc_id, dna, unnest([15, 17, 19, 21, 23, 25, 27, 29, 31]) as kk from dna where dna is not null),
 km as (select doc_id, kk, {_CANON} as k from (select doc_id, kk, substr(dna, i, kk) as k from (select doc_id, dna, kk, unnest(range(1, length(dna) - kk + 2)) as i from ks))),
 c as (select ks.doc_id, ks.kk, count(km.k) as t, count(distinct km.k) as u from ks left join km on ks.doc_id = km.doc_id and ks.kk = km.kk group by 1, 2)
-select kk as k, round(avg(u), 6) as mean_unique, round(stddev_pop(u), 6) as std_unique, round(avg(t), 6) as mean_total, round(avg(case when t > 0 then u / t else 0 end), 6) as mean_ratio from c group by 1""")
+select kk as k, round(avg(u), 8) as mean_unique, round(stddev_pop(u), 8) as std_unique, round(avg(t), 8) as mean_total, round(avg(case when t > 0 then u / t else 0 end), 8) as mean_ratio from c group by 1""")
 def kmer_sweep(spark: SparkSession, d: str) -> DataFrame:
     s = M.parameter_sweep(dna(spark, d).where("dna is not null"), "dna")
-    return s.select("k", *(F.round(c, 6).alias(c) for c in s.columns if c != "k"))
+    return s.select("k", *(F.round(c, 8).alias(c) for c in s.columns if c != "k"))
 
 
 # --- signatures -----------------------------------------------------------------------------------------------------------------
@@ -281,13 +281,13 @@ def cluster_orphans(spark: SparkSession, d: str) -> DataFrame:
 _MEMBERS = f"{WITH}, m as (select subtype, segment, cluster_id, sequence_id, h from rec where cluster_id is not null and trim(cluster_id) <> '')"
 
 
-@query(f"{WITH}, {REF} select r.subtype, r.segment, r.cluster_id, count(*) as n, round(quantile_cont(1 - {equal_sql('r.h', 'c.c')} / 64, 0.9), 9) as radius, round(avg(1 - {equal_sql('r.h', 'c.c')} / 64), 6) as mean_distance from rec r join ref c on r.subtype = c.subtype and r.segment = c.segment and 'v1/' || r.cluster_id = c.cluster_id group by 1, 2, 3")
+@query(f"{WITH}, {REF} select r.subtype, r.segment, r.cluster_id, count(*) as n, round(quantile_cont(1 - {equal_sql('r.h', 'c.c')} / 64, 0.9), 9) as radius, round(avg(1 - {equal_sql('r.h', 'c.c')} / 64), 9) as mean_distance from rec r join ref c on r.subtype = c.subtype and r.segment = c.segment and 'v1/' || r.cluster_id = c.cluster_id group by 1, 2, 3")
 def cluster_radius(spark: SparkSession, d: str) -> DataFrame:
     """Radius (90th percentile) and mean distance of stored clusters' members to their centroid."""
     c = reference(spark, d)
     j = records(spark, d).withColumn("cluster_id", F.concat(F.lit("v1/"), "cluster_id")).join(c, ["subtype", "segment", "cluster_id"])
     dist = Q.lane_distance("lanes", "centroid")
-    return j.withColumn("_d", dist).groupBy("subtype", "segment", F.substring("cluster_id", 4, 100).alias("cluster_id")).agg(F.count("*").alias("n"), F.round(F.percentile("_d", F.lit(0.9)), 9).alias("radius"), F.round(F.avg("_d"), 6).alias("mean_distance"))
+    return j.withColumn("_d", dist).groupBy("subtype", "segment", F.substring("cluster_id", 4, 100).alias("cluster_id")).agg(F.count("*").alias("n"), F.round(F.percentile("_d", F.lit(0.9)), 9).alias("radius"), F.round(F.avg("_d"), 9).alias("mean_distance"))
 
 
 # --- profiles -------------------------------------------------------------------------------------------------------------------
@@ -492,10 +492,10 @@ l as (select m.*, gn - coalesce(bn, 0) as ln, gs - coalesce(bs, 0) as ls, gq - c
 z as (select sequence_id, segment, s / n as mean, case when ln >= 3 then ls / ln else ts / tn end as mu, greatest(0.01, case when ln >= 3 then sqrt(greatest(0.0, lq / ln - power(ls / ln, 2))) else sqrt(greatest(0.0, tq / tn - power(ts / tn, 2))) end) as sigma from l where n >= 3)"""
 
 
-@query(f"{_STAGE2} select sequence_id, segment, round(mean, 6) as mean, round(mu, 6) as mu, round(sigma, 5) as sigma, round((mean - mu) / sigma, 4) as z from z")
+@query(f"{_STAGE2} select sequence_id, segment, round(mean, 9) as mean, round(mu, 9) as mu, round(sigma, 5) as sigma, round((mean - mu) / sigma, 4) as z from z")
 def stage2_zscores(spark: SparkSession, d: str) -> DataFrame:
     z = R.distance_scores(*constellations_and_lanes(spark, d))
-    return z.select("sequence_id", "segment", F.round("mean", 6).alias("mean"), F.round("mu", 6).alias("mu"), F.round("sigma", 5).alias("sigma"), F.round("z", 4).alias("z"))
+    return z.select("sequence_id", "segment", F.round("mean", 9).alias("mean"), F.round("mu", 9).alias("mu"), F.round("sigma", 5).alias("sigma"), F.round("z", 4).alias("z"))
 
 
 @query()
@@ -627,24 +627,24 @@ def orphan_minted_joined(spark: SparkSession, d: str) -> DataFrame:
     return D.minted_or_joined(current(spark, d), r)
 
 
-@query(f"{CUR} select segment_name, count(*) as n, round(quantile_cont(distance_to_centroid, 0.1), 6) as p10, round(quantile_cont(distance_to_centroid, 0.5), 6) as p50, round(quantile_cont(distance_to_centroid, 0.9), 6) as p90, round(max(distance_to_centroid), 6) as max from cur where is_orphan = 1 and distance_to_centroid is not null and not isnan(distance_to_centroid) group by 1")
+@query(f"{CUR} select segment_name, count(*) as n, round(quantile_cont(distance_to_centroid, 0.1), 9) as p10, round(quantile_cont(distance_to_centroid, 0.5), 9) as p50, round(quantile_cont(distance_to_centroid, 0.9), 9) as p90, round(max(distance_to_centroid), 9) as max from cur where is_orphan = 1 and distance_to_centroid is not null and not isnan(distance_to_centroid) group by 1")
 def orphan_percentiles(spark: SparkSession, d: str) -> DataFrame:
     o = D.orphan_distances(current(spark, d))
-    return o.select("segment_name", "n", *(F.round(c, 6).alias(c) for c in ("p10", "p50", "p90", "max")))
+    return o.select("segment_name", "n", *(F.round(c, 9).alias(c) for c in ("p10", "p50", "p90", "max")))
 
 
-@query(f"{CUR} select segment_name, round(o, 4) as orphan_mean, round(c, 4) as clustered_mean, round(case when o <> 0 and c <> 0 then o - c end, 4) as delta from (select segment_name, avg(sequence_length) filter (is_orphan = 1) as o, avg(sequence_length) filter (is_orphan = 0) as c from cur group by 1)")
+@query(f"{CUR} select segment_name, round(o, 8) as orphan_mean, round(c, 8) as clustered_mean, round(case when o <> 0 and c <> 0 then o - c end, 8) as delta from (select segment_name, avg(sequence_length) filter (is_orphan = 1) as o, avg(sequence_length) filter (is_orphan = 0) as c from cur group by 1)")
 def orphan_length_skew(spark: SparkSession, d: str) -> DataFrame:
     s = D.length_skew(current(spark, d))
-    return s.select("segment_name", *(F.round(c, 4).alias(c) for c in ("orphan_mean", "clustered_mean", "delta")))
+    return s.select("segment_name", *(F.round(c, 8).alias(c) for c in ("orphan_mean", "clustered_mean", "delta")))
 
 
 @query(f"""{CUR}, per as (select sequence_id, count(*) filter (is_orphan = 1) / count(*) as f from cur group by 1),
 kv as (select sequence_id, k as key, try_cast(json_extract_string(metadata_json, '$.' || k) as double) as v from (select sequence_id, metadata_json, unnest(json_keys(metadata_json)) as k from iso where json_valid(metadata_json)))
-select key, round(avg(v) filter (f >= 0.5), 4) as heavy_mean, round(avg(v) filter (f < 0.5), 4) as rest_mean, count(*) filter (f >= 0.5) as heavy_n, count(*) filter (f < 0.5) as rest_n from kv join per using (sequence_id) where v is not null group by 1""")
+select key, round(avg(v) filter (f >= 0.5), 8) as heavy_mean, round(avg(v) filter (f < 0.5), 8) as rest_mean, count(*) filter (f >= 0.5) as heavy_n, count(*) filter (f < 0.5) as rest_n from kv join per using (sequence_id) where v is not null group by 1""")
 def orphan_metadata_skew(spark: SparkSession, d: str) -> DataFrame:
     m = D.metadata_skew(current(spark, d), isolates(spark, d))
-    return m.select("key", F.round("heavy_mean", 4).alias("heavy_mean"), F.round("rest_mean", 4).alias("rest_mean"), "heavy_n", "rest_n")
+    return m.select("key", F.round("heavy_mean", 8).alias("heavy_mean"), F.round("rest_mean", 8).alias("rest_mean"), "heavy_n", "rest_n")
 
 
 @query("select segment_name, count(*) as clusters, sum(member_count)::bigint as members, min(member_count) as smallest, max(member_count) as largest from clusters group by 1")

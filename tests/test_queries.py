@@ -21,7 +21,7 @@ def sql():
 
 
 def plain(v):
-    return round(v, 6) if isinstance(v, float) and not math.isnan(v) else v
+    return round(v, 7) if isinstance(v, float) and not math.isnan(v) else v
 
 
 @pytest.mark.parametrize("name", sorted(catalog.SQL))
