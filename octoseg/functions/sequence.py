@@ -155,8 +155,7 @@ def signature_lanes(sig: str | Column) -> Column:
     """The lanes of stored bytes, each as 16 hexadecimal digits in storage order: enough for equality."""
     s = _c(sig)
     n = ((F.length(s) - 16) / 8).cast("int")
-    h = F.hex(s)
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: h.substr(i * 16 + 33, F.lit(16))))
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.hex(s.substr(i * 8 + 17, F.lit(8)))))
 
 
 def lane_agreement(a: str | Column, b: str | Column) -> Column:

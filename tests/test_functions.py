@@ -1,4 +1,6 @@
+import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -175,6 +177,67 @@ def test_edges_components_and_clusters(spark):
         assert sorted(map(sorted, got.values())) == sorted(sorted(w) for w in want if len(w) > 1)
 
 
+def greedy(diff, w, method, cut):
+    """Founders of clusters by the terms of linkage(): each time the closest pair in exact fractions, the first on ties."""
+    of = {i: [i] for i in range(len(w))}
+    total = lambda x, y: sum(int(w[a] * w[b]) * int(diff[a, b]) ** (2 if method == "ward" else 1) for a in x for b in y)
+
+    def height(x, y):
+        if method == "complete":
+            return Fraction(max(int(diff[a, b]) for a in x for b in y), 16)
+        nx, ny = int(w[x].sum()), int(w[y].sum())
+        if method == "average":
+            return Fraction(total(x, y), 16 * nx * ny)
+        return Fraction(2 * nx * ny, nx + ny) * (Fraction(total(x, y), nx * ny) - Fraction(total(x, x), 2 * nx * nx) - Fraction(total(y, y), 2 * ny * ny)) / 256
+
+    h = {(i, j): height([i], [j]) for i in of for j in of if i < j}
+    while h:
+        d, i, j = min((d, *k) for k, d in h.items())
+        if (math.sqrt(d) if method == "ward" else d) > cut:
+            break
+        of[i] += of.pop(j)
+        h = {k: v for k, v in h.items() if not {i, j} & {*k}} | {(min(i, k), max(i, k)): height(of[i], of[k]) for k in of if k != i}
+    return [next(i for i, x in of.items() if a in x) for a in range(len(w))]
+
+
+@pytest.mark.parametrize("method", ["average", "complete", "ward"])
+def test_linkage_by_rows(method):
+    rng = np.random.default_rng(5)
+    for n, weights in ((2, 1), (25, 1), (30, 4), (30, 4)):
+        codes = np.where(rng.random((16, n)) < 0.25, rng.integers(3, 99, (16, n)), rng.integers(0, 3, n)[None, :])
+        codes = np.unique(codes, axis=1)
+        w = rng.integers(1, weights + 1, codes.shape[1])
+        codes = np.stack([np.unique(x, return_inverse=True)[1] for x in codes])
+        diff = (codes[:, :, None] != codes[:, None, :]).sum(axis=0)
+        for cut in (0.2, 0.4, 0.6):
+            want = greedy(diff, w, method, cut + 1e-9)
+            for cache in (1 << 20, 0):
+                assert list(K.linkage_by_rows(codes, w, method, cut + 1e-9, cache)) == want
+
+
+@pytest.mark.parametrize("method", ["average", "single", "ward"])
+def test_many_copies_and_classes(spark, method):
+    """More copies of one signature than a matrix has room for, beside the rows of a small cluster."""
+    lanes = [f"{i:016X}" for i in range(16)]
+    n = 20_500
+    df = spark.range(n).select(F.lit("H3N2").alias("subtype"), F.lit("HA").alias("segment"), F.format_string("c%06d", "id").alias("sequence_id"), F.array(*map(F.lit, lanes)).alias("lanes"))
+    near = [("H3N2", "HA", f"d{i}", [f"{i + 100:016X}", *lanes[1:]]) for i in range(3)]
+    far = [("H3N2", "HA", f"e{i}", [f"{j + 500:016X}" for j in range(16)]) for i in range(2)] + [("H3N2", "HA", "f", [f"{j + 900:016X}" for j in range(16)])]
+    df = df.union(spark.createDataFrame(near + far, df.schema))
+    cfg = C.ClusteringConfig(segment_thresholds={"HA": {"same": 0.9}}, subtype_adjustments={}, dev_mode=True, linkage_method=method)
+    c, a = K.cluster_signatures(df, cfg)
+    got = {r["cluster_id"]: (r["medoid"], r["size"]) for r in c.collect()}
+    assert a.count() == n + 6 and [r[0] for r in a.where("is_orphan").select("sequence_id").collect()] == ["f"]
+    assert c.where("cluster_id = 'C1'").first()["centroid"] == lanes
+    if method == "ward":  # the three are nearer to each other than their union to the weight of the copies
+        assert got == {"C1": ("c000000", n), "C2": ("d0", 3), "C3": ("e0", 2)}
+        return
+    assert got == {"C1": ("c000000", n + 3), "C2": ("e0", 2)}
+    pairs = 2 * 3 * n + 6  # ordered pairs with one differing lane
+    assert c.where("cluster_id = 'C1'").first()["mean_diameter"] == pytest.approx(pairs / 16 / (n + 3) ** 2)
+    assert a.where("sequence_id = 'd1'").first()["distance"] == pytest.approx(1 / 16)
+
+
 def test_clustering_terms(spark):
     bad = spark.createDataFrame([("a", None), ("a", None)], "sequence_id string, kmer_signature binary")
     with pytest.raises(K.InputValidationError, match="repeated"):
