@@ -149,13 +149,20 @@ def constellation_keys(profiles: DataFrame) -> DataFrame:
     return p.select("sequence_id", F.concat_ws(".", *(F.coalesce(F.col("m")[s], F.lit("-")) for s in C.SEGMENTS)).alias("key"))
 
 
+def keyed(keys: DataFrame, signatures: DataFrame) -> DataFrame:
+    """signatures with their isolate's key; parameters of the signatures, where given, are part of it, as only equal ones compare."""
+    own = [c for c in ("num_hashes", "seed") if c in signatures.columns]
+    r = signatures.join(keys, "sequence_id")
+    return r.withColumn("key", F.concat_ws("|", "key", *own)) if own else r
+
+
 def mate_sums(keys: DataFrame, signatures: DataFrame) -> DataFrame:
     """(key, segment, sequence_id, n, s): the number of mates of each record in its group, and its distances' sum.
 
     Lanes that a record shares with all its mates are counted from how many of them have its value in each lane, so the
     work is linear in the records and no pair is made. Mates of another number of lanes are at distance 1.
     """
-    r = signatures.join(keys, "sequence_id").select("key", "segment", "sequence_id", F.size("lanes").alias("m"), "lanes")
+    r = keyed(keys, signatures).select("key", "segment", "sequence_id", F.size("lanes").alias("m"), "lanes")
     size = r.groupBy("key", "segment").agg(F.count("*").alias("members"))
     cells = stage(r.select("key", "segment", "sequence_id", "m", F.posexplode("lanes").alias("lane", "v")), "cells")
     k = cells.groupBy("key", "segment", "m", "lane", "v").agg(F.count("*").alias("k")).where("k > 1")
@@ -171,7 +178,7 @@ def baselines(keys: DataFrame, signatures: DataFrame, most_pairs: int = 500) ->
     their id, as many as have no more pairs. The sample is the screen's own setting; every record is scored against it.
     """
     members = int((1 + math.sqrt(1 + 8 * most_pairs)) / 2)
-    r = signatures.join(keys, "sequence_id").select("key", "segment", "sequence_id", "lanes")
+    r = keyed(keys, signatures).select("key", "segment", "sequence_id", "lanes")
     w = Window.partitionBy("key", "segment").orderBy(F.md5("sequence_id"), "sequence_id")
     r = stage(r.withColumn("r", F.row_number().over(w)).where(F.col("r") <= members).drop("r"), "baseline")
     a, b = r.select("key", "segment", F.col("sequence_id").alias("a"), F.col("lanes").alias("la")), r.select("key", "segment", F.col("sequence_id").alias("b"), F.col("lanes").alias("lb"))
@@ -216,7 +223,7 @@ def stage2_events(keys: DataFrame, signatures: DataFrame, cfg: C.ReassortmentCon
 
 def detect(profiles: DataFrame, signatures: DataFrame, alleles: DataFrame | None = None, cfg: C.ReassortmentConfig | None = None, lineage: DataFrame | None = None, permutation_gate: bool | None = None) -> DataFrame:
     """All events. Isolates with an event of one stage take no part in the next; stages 1 and 2 see isolates with six
-    assigned segments or more. profiles is assign_genotypes() output, signatures (sequence_id, segment, lanes)."""
+    assigned segments or more. profiles is assign_genotypes() output, signatures (sequence_id, segment, lanes), and num_hashes and seed where they differ."""
     cfg = cfg or C.ReassortmentConfig()
     n = profiles.groupBy("sequence_id").agg(F.count_if(F.col("status") == "ASSIGNED").alias("k"))
     if n.limit(2).count() < 2:

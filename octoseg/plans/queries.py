@@ -69,6 +69,15 @@ def records(spark: SparkSession, d: str) -> DataFrame:
     return s.select("subtype", F.col("segment_name").alias("segment"), "sequence_id", "kmer_signature", Q.signature_lanes("kmer_signature").alias("lanes"), "cluster_id", "is_orphan")
 
 
+def all_records(spark: SparkSession, d: str) -> DataFrame:
+    """(subtype, segment, sequence_id, num_hashes, seed, lanes): the newest usable signature of each (sequence_id, segment) over all versions, of any parameters."""
+    s = table(spark, d, "segment_kmers").where("sequence_id is not null and segment_name is not null and cluster_version is not null").where(Q.is_usable("kmer_signature"))
+    s = s.groupBy("sequence_id", "segment_name").agg(F.max_by("kmer_signature", F.struct("created_at", "id")).alias("kmer_signature"))
+    s = s.join(isolates(spark, d).select("sequence_id", "subtype"), "sequence_id").where("subtype is not null")
+    h = Q.signature_header("kmer_signature")
+    return s.select("subtype", F.col("segment_name").alias("segment"), "sequence_id", h["num_hashes"].alias("num_hashes"), h["seed"].alias("seed"), Q.signature_lanes("kmer_signature").alias("lanes"))
+
+
 USABLE = "octet_length(kmer_signature) = 528 and hex(kmer_signature)[1:16] = '400000002A000000' and hex(kmer_signature)[25:32] <> '00000000'"
 REC = f"rec as (select i.subtype, s.segment_name as segment, s.sequence_id, hex(s.kmer_signature) as h, s.cluster_id, s.is_orphan from seg s join iso i using (sequence_id) where s.cluster_version = 'v1' and i.subtype is not null and {USABLE})"
 WITH = f"with {ISO}, {SEG}, {REC}"
@@ -226,7 +235,7 @@ def build_signatures(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"{WITH} select a.subtype, a.segment, a.sequence_id as a, b.sequence_id as b, round(1 - {equal_sql('a.h', 'b.h')} / 64, 6) as dist from rec a join rec b on a.subtype = b.subtype and a.segment = b.segment and a.sequence_id < b.sequence_id where {equal_sql('a.h', 'b.h')} >= 58")
 def similar_pairs(spark: SparkSession, d: str) -> DataFrame:
-    """All pairs of a subtype and segment with an agreement of 0.9 or more, copies included."""
+    """All pairs of records() (version v1, 64 lanes, seed 42) of a subtype and segment with an agreement of 0.9 or more, copies included."""
     r = records(spark, d).withColumn("threshold", F.lit(0.9))
     e = K.similarity_edges(r, ["subtype", "segment"], "threshold")
     # links between classes of copies stand for all their members
@@ -265,16 +274,16 @@ def assign_to_existing(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def cluster_average(spark: SparkSession, d: str) -> DataFrame:
-    """Average-linkage clusters of all records, with medoid, size, diameter and radius."""
+    """Average-linkage clusters of the records of all versions, each set of parameters apart, with medoid, size, diameter and radius."""
     cfg = C.ClusteringConfig(dev_mode=True)
-    c, _ = K.cluster_signatures(records(spark, d).drop("cluster_id"), cfg)
+    c, _ = K.cluster_signatures(all_records(spark, d), cfg)
     return c.select("subtype", "segment", "cluster_id", "medoid", "size", F.round("mean_diameter", 6).alias("mean_diameter"), F.round("radius", 6).alias("radius"))
 
 
 @query()
 def cluster_orphans(spark: SparkSession, d: str) -> DataFrame:
     """Orphans of the same clustering with the nearest cluster."""
-    _, a = K.cluster_signatures(records(spark, d).drop("cluster_id"), C.ClusteringConfig(dev_mode=True))
+    _, a = K.cluster_signatures(all_records(spark, d), C.ClusteringConfig(dev_mode=True))
     return a.where("is_orphan").select("subtype", "segment", "sequence_id", "nearest_cluster", F.round("nearest_distance", 6).alias("nearest_distance"))
 
 
@@ -500,13 +509,13 @@ def stage2_zscores(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def stage2_events(spark: SparkSession, d: str) -> DataFrame:
-    return R.stage2_events(*constellations_and_lanes(spark, d), C.ReassortmentConfig(min_confidence=0.3))
+    return R.stage2_events(constellations_and_lanes(spark, d)[0], all_records(spark, d).drop("subtype"), C.ReassortmentConfig(min_confidence=0.3))
 
 
 @query()
 def reassortment_events(spark: SparkSession, d: str) -> DataFrame:
     """All three stages over the stored profiles, alleles and signatures."""
-    return R.detect(long_profiles(spark, d), records(spark, d).select("sequence_id", "segment", "lanes"), allele_rows(spark, d))
+    return R.detect(long_profiles(spark, d), all_records(spark, d).drop("subtype"), allele_rows(spark, d))
 
 
 @query()

@@ -238,6 +238,21 @@ def test_many_copies_and_classes(spark, method):
     assert a.where("sequence_id = 'd1'").first()["distance"] == pytest.approx(1 / 16)
 
 
+def test_records_of_all_versions_and_parameters(spark, tmp_path):
+    from octoseg.plans import queries as P
+
+    sig = lambda n, seed: M.to_bytes(n, seed, 500, 400, np.arange(n))
+    rows = [("a", 64, 42, "v1"), ("b", 64, 42, "v2"), ("c", 64, 7, "v1"), ("d", 64, 7, "v2"), ("e", 128, 42, "v1"), ("f", 128, 42, "v2"), ("a", 64, 42, "v2"), ("g", 64, 9, "v2")]
+    kmers = [(i, x, "HA", sig(n, seed), v, "2024", None, 0) for i, (x, n, seed, v) in enumerate(rows)]
+    spark.createDataFrame(kmers, "id long, sequence_id string, segment_name string, kmer_signature binary, cluster_version string, created_at string, cluster_id string, is_orphan int").write.parquet(str(tmp_path / "segment_kmers.parquet"))
+    spark.createDataFrame([(x, "H3N2", None, "processed", "2024-01-01") for x in "abcdefg"], "sequence_id string, subtype string, metadata_json string, status string, collection_date string").write.parquet(str(tmp_path / "sequences.parquet"))
+    assert sorted((r["cluster_id"], r["medoid"], r["size"]) for r in P.cluster_average(spark, str(tmp_path)).collect()) == [("C1", "a", 2), ("C2", "c", 2), ("C3", "e", 2)]
+    assert [tuple(r) for r in P.cluster_orphans(spark, str(tmp_path)).select("sequence_id", "nearest_cluster").collect()] == [("g", None)]
+    keys = spark.createDataFrame([(x, "k") for x in "abcdefg"], "sequence_id string, key string")
+    got = R.mate_sums(keys, P.all_records(spark, str(tmp_path)).drop("subtype")).collect()
+    assert sorted((r["sequence_id"], r["n"], r["s"]) for r in got) == [*((x, 1, 0.0) for x in "abcdef"), ("g", 0, 0.0)]
+
+
 def test_clustering_terms(spark):
     bad = spark.createDataFrame([("a", None), ("a", None)], "sequence_id string, kmer_signature binary")
     with pytest.raises(K.InputValidationError, match="repeated"):
