@@ -12,20 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _STAGED: list[tuple[SparkSession, str]] = []
+_SHARED: list = []
 
 
-def session(name: str = "octoseg", cores: str | int = "*", **conf: str) -> SparkSession:
-    """A local session for tests and benchmarks; on a cluster the caller brings its own."""
-    b = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("OCTOSEG_DRIVER_MEMORY", "8g"))
-    )
+def session(name: str = "octoseg", cores: str | int | None = None, master: str | None = None, **conf: str) -> SparkSession:
+    """A session on the master that is named, or the one spark-submit brings, or else a local one for tests and benchmarks."""
+    b = SparkSession.builder.appName(name).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    if master:
+        b = b.master(master)
+    elif "PYSPARK_GATEWAY_PORT" not in os.environ:
+        b = b.master(f"local[{cores or '*'}]").config("spark.driver.memory", os.environ.get("OCTOSEG_DRIVER_MEMORY", "8g"))
+        b = b.config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in conf.items():
         b = b.config(k.replace("__", "."), v)
     s = b.getOrCreate()
@@ -71,19 +68,44 @@ def stage(df: DataFrame, name: str = "t", partition_by: list[str] | None = None)
     path = scratch(spark, name)
     w = df.write.mode("errorifexists").option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._octoseg_path = path
+    return out
+
+
+def discard(*staged: DataFrame | None) -> None:
+    """Delete tables of stage() that nothing reads any more, so that loops keep one round on disk."""
+    for df in staged:
+        path = getattr(df, "_octoseg_path", None)
+        if path:
+            _delete(df.sparkSession, path)
+            _STAGED[:] = [x for x in _STAGED if x[1] != path]
+
+
+def share(spark: SparkSession, value: object):
+    """A broadcast variable that drop_staged() destroys."""
+    v = spark.sparkContext.broadcast(value)
+    _SHARED.append(v)
+    return v
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def drop_staged() -> None:
-    """Delete what stage() wrote in this process; results that still read it can't be computed afterwards."""
+    """Delete what stage() wrote and share() sent in this process; results that still read it can't be computed afterwards."""
     while _STAGED:
-        spark, path = _STAGED.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path).getParent()
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(*_STAGED.pop())
         except Exception:  # noqa: BLE001  the session may be gone
             pass
+    while _SHARED:
+        try:
+            _SHARED.pop().destroy()
+        except Exception:  # noqa: BLE001
+            pass
 
 
 atexit.register(drop_staged)
@@ -99,11 +121,6 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if small_enough(df, limit_bytes) else df
 
 
-def clash_free(df: DataFrame, own: list[str]) -> DataFrame:
-    """df without columns that carry the names an operator gives to its own helpers."""
-    return df.drop(*[c for c in df.columns if c in own])
-
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
