@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from octoseg.llm import signatures as S
-from octoseg.runtime import stage, table
+from octoseg.runtime import discard, stage, table
 
 
 def candidate_pairs(post: DataFrame) -> DataFrame:
@@ -44,16 +44,19 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b", mo
     hub may be hot, its join is split by AQE. Rounds are staged tables, so the lineage stays short.
     """
     e = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u <> v").distinct()
+    e = first = stage(e, "edges")
     nodes = e.select(F.col("u").alias("node")).union(e.select(F.col("v").alias("node"))).distinct()
-    e = stage(e, "edges")
     before = None
     for _ in range(most_rounds):
+        last = e
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         e = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = e.groupBy("u").agg(F.min("v").alias("m"))
         e = e.join(low, "u").select(F.explode(F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))).alias("x")).select(F.col("x.v").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct()
         e = stage(e, "edges")
+        if last is not first:  # nodes are read from the first
+            discard(last)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == before:
             break
@@ -63,22 +66,25 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b", mo
     return nodes.join(e.select(F.col("u").alias("node"), F.col("v").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
-def record_pairs(pairs: DataFrame, mem: DataFrame, most_copies: int = 256) -> DataFrame:
-    """(segment_name, sequence_a, sequence_b) of the records behind pairs of classes, and of copies within a class.
+def record_pairs(pairs: DataFrame, mem: DataFrame, lot: int = 512) -> DataFrame:
+    """(segment_name, sequence_a, sequence_b): all pairs of records behind pairs of classes, and of copies within a class.
 
-    Classes of more than most_copies copies are given as links of each copy to the smallest sequence_id, and their
-    links to other classes through it: the same groups in a linear number of rows.
+    One form at every size: each pair of records that agree is a row, copies included, as p3_found is defined; their
+    number is quadratic in the copies of a class (near_duplicate_groups() is linear). Members of a class are cut into
+    lots of about `lot`, and lots meet lots, so no task holds the pairs of one large class.
     """
-    size = mem.groupBy("cid").agg(F.count("*").alias("k"), F.min("sequence_id").alias("low"))
-    m = mem.join(size, "cid")
-    hubs = m.where(F.col("k") <= most_copies).select("cid", "segment_name", "sequence_id").union(m.where((F.col("k") > most_copies) & (F.col("sequence_id") == F.col("low"))).select("cid", "segment_name", "sequence_id"))
-    hubs_a = hubs.select(F.col("cid").alias("ca"), "segment_name", F.col("sequence_id").alias("x"))
-    hubs_b = hubs.select(F.col("cid").alias("cb"), F.col("sequence_id").alias("y"))
-    across = pairs.select("ca", "cb").join(hubs_a, "ca").join(hubs_b, "cb").select("segment_name", "x", "y")
-    few = m.where((F.col("k") > 1) & (F.col("k") <= most_copies))
-    within = few.select("cid", "segment_name", F.col("sequence_id").alias("x")).join(few.select("cid", F.col("sequence_id").alias("y")), "cid").where("x < y").select("segment_name", "x", "y")
-    star = m.where((F.col("k") > most_copies) & (F.col("sequence_id") > F.col("low"))).select("segment_name", F.col("low").alias("x"), F.col("sequence_id").alias("y"))
-    out = across.union(within).union(star)
+    size = mem.groupBy("cid").agg(F.count("*").alias("k"), F.ceil(F.count("*") / lot).cast("int").alias("lots"))
+    m = mem.select("cid", "segment_name", "sequence_id").join(size, "cid").withColumn("lot", F.pmod(F.xxhash64("sequence_id"), F.col("lots")).cast("int"))
+    m = stage(m, "lots")
+    every = F.explode(F.sequence(F.lit(0), F.col("lots") - 1))
+    copies = m.where("k > 1")
+    x = copies.select("cid", "segment_name", F.col("sequence_id").alias("x"), F.col("lot").alias("la"), every.alias("lb"))
+    y = copies.select("cid", F.col("sequence_id").alias("y"), every.alias("la"), F.col("lot").alias("lb"))
+    within = x.join(y, ["cid", "la", "lb"]).where("x < y").select("segment_name", "x", "y")
+    a = m.select(F.col("cid").alias("ca"), "segment_name", F.col("sequence_id").alias("x"))
+    b = m.select(F.col("cid").alias("cb"), F.col("sequence_id").alias("y"))
+    across = pairs.select("ca", "cb").join(a, "ca").join(b, "cb").select("segment_name", "x", "y")
+    out = across.union(within)
     return out.select("segment_name", F.least("x", "y").alias("sequence_a"), F.greatest("x", "y").alias("sequence_b")).where("sequence_a < sequence_b").distinct()
 
 
@@ -99,20 +105,24 @@ def near_duplicate_pairs(seg: DataFrame, threshold: float = 0.85) -> DataFrame:
 
 
 def near_duplicate_groups(seg: DataFrame, threshold: float = 0.85) -> DataFrame:
-    """(segment_name, sequence_id, group_id, links) for every record with a usable signature.
+    """(segment_name, sequence_id, class_id, copies, links, group_id) for every record with a usable signature.
 
-    group_id is the smallest sequence_id of the connected group of its class; links counts the classes it is linked to.
+    class_id is the smallest sequence_id of the records with the very same signature and copies their number; links
+    counts the other classes it is linked to; group_id is the smallest sequence_id of the connected group of classes.
+    Linear in the records, whatever the number of copies.
     """
     rec = records(seg)
     cls = S.classes(rec)
     pairs = stage(similar_classes(cls, threshold), "pairs")
     comp = connected_components(pairs, "ca", "cb")
     ends = pairs.select(F.explode(F.array("ca", "cb")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
-    mem = S.members(rec, cls, "sequence_id")
-    m = mem.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left").join(ends, "cid", "left")
-    m = m.withColumns({"component": F.coalesce("component", "cid"), "links": F.coalesce("links", F.lit(0))})
-    low = m.groupBy("component").agg(F.min("sequence_id").alias("group_id"))
-    return m.join(low, "component").select("segment_name", "sequence_id", "group_id", "links")
+    mem = stage(S.members(rec, cls, "sequence_id"), "members")
+    own = mem.groupBy("cid").agg(F.min("sequence_id").alias("class_id"), F.count("*").alias("copies"))
+    c = own.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left").join(ends, "cid", "left")
+    c = c.withColumns({"component": F.coalesce("component", "cid"), "links": F.coalesce("links", F.lit(0))})
+    low = c.groupBy("component").agg(F.min("class_id").alias("group_id"))
+    c = c.join(low, "component").select("cid", "class_id", "copies", "links", "group_id")
+    return mem.join(c, "cid").select("segment_name", "sequence_id", "class_id", "copies", "links", "group_id")
 
 
 def p3_found(spark, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from octoseg.runtime import stage
+from octoseg.runtime import share, stage
 
 BLOCKS = 64
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -187,30 +187,38 @@ def sketch_width(rows: int) -> int:
     return 1 << min(23, max(16, math.ceil(math.log2(max(1, rows) * 4))))
 
 
-def order_sketch(cls: DataFrame, width: int) -> np.ndarray:
-    """Counts of all tokens of all rows, in `width` counters by hash; partitions are added up block by block.
+def order_sketch(cls: DataFrame, width: int, fan: int = 64) -> np.ndarray:
+    """Counts of all tokens of all rows, in `width` counters by hash.
 
-    Each partition sends at most `width` counters in BLOCKS pieces; the driver gets the one sum, at most 32 MB.
+    Each task counts one sketch, of at most 32 MB, and there are at most twice as many tasks as cores, whatever the
+    number of partitions. Sketches are added up block by block in two levels of up to `fan` parts; the driver gets the
+    one sum.
     """
+    schema = "block int, part int, counts binary"
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         total = np.zeros(width, dtype=np.uint32)
         for b in batches:
             for lanes, grp in lane_groups(b):
                 total += np.bincount((tokens(lanes, grp) & np.uint64(width - 1)).ravel().astype(np.int64), minlength=width).astype(np.uint32)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS, dtype=np.int32)), binary(total.reshape(BLOCKS, -1))], names=["block", "counts"])
+            part = np.full(BLOCKS, TaskContext.get().partitionId() % fan, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS, dtype=np.int32)), pa.array(part), binary(total.reshape(BLOCKS, -1))], names=["block", "part", "counts"])
 
     def added(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(width // BLOCKS, dtype=np.uint64)
         for x in pdf["counts"]:
             total += np.frombuffer(x, dtype=np.uint32)
-        return pd.DataFrame({"block": [key[0]], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+        return pd.DataFrame({"block": [key[0]], "part": [0], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
 
-    part = cls.select("grp", "n", "lanes").mapInArrow(partial, "block int, counts binary")
-    got = part.groupBy("block").applyInPandas(added, "block int, counts binary").collect()
+    tasks = 2 * cls.sparkSession.sparkContext.defaultParallelism
+    got = cls.select("grp", "n", "lanes").coalesce(tasks).mapInArrow(partial, schema)
+    if tasks > fan:
+        got = got.groupBy("block", "part").applyInPandas(added, schema)
     out = np.zeros((BLOCKS, width // BLOCKS), dtype=np.uint32)
-    for r in got:
+    for r in got.groupBy("block").applyInPandas(added, schema).collect():
         out[r["block"]] = np.frombuffer(r["counts"], dtype=np.uint32)
     return out.ravel()
 
@@ -264,7 +272,10 @@ def band_keys(tok: np.ndarray, counts: np.ndarray, least: int, hot: int) -> tupl
         rows.append(np.flatnonzero(~is_hot))
         keys.append(k[~is_hot])
         at = np.flatnonzero(is_hot)
-        if len(at):
+        if len(at) and len(band) == n:  # no lane is left to split by
+            rows.append(at)
+            keys.append(k[at])
+        elif len(at):
             outside = order[at]
             outside = outside[(outside < band[0]) | (outside > band[-1])].reshape(len(at), n - len(band))[:, :d]
             with np.errstate(over="ignore"):
@@ -295,7 +306,7 @@ def rarity(cls: DataFrame):
     rows = cls.count()
     width = sketch_width(rows)
     counts = order_sketch(cls, width)
-    return cls.sparkSession.sparkContext.broadcast(counts), int(64 + 2 * counts.mean())
+    return share(cls.sparkSession, counts), int(64 + 2 * counts.mean())
 
 
 def verified(pairs: DataFrame, cls: DataFrame, threshold: float, left: str = "ca", right: str = "cb", other: DataFrame | None = None) -> DataFrame:
