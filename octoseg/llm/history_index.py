@@ -2,88 +2,140 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from octoseg.llm import signatures as S
 from octoseg.llm.near_duplicates import candidate_pairs
-from octoseg.runtime import scratch, stage, table
+from octoseg.runtime import broadcast_if_small, discard, scratch, share, stage, table
 
-ENTRY = "cid long, segment_name string, h1 long, h2 long, n int, grp long, lanes binary, c0 long, c1 long, c2 long, c3 long"
+ENTRY = "cid long, segment_name string, h1 long, h2 long, n int, grp long, lanes binary, c0 long, c1 long, c2 long, c3 long, first_sub long"
 CODE = ["c0", "c1", "c2", "c3"]
 
 
 class SignatureIndex:
-    """An index of accepted signatures in a folder: order/ (rarity of tokens), signatures/ and postings/.
+    """An index of accepted signatures in a folder: order/ (rarity of tokens), then signatures/ and postings/ by batch.
 
-    postings/ has (bucket, key, cid), one directory for each bucket of keys; a probe or an append touches a batch's
-    postings only, never the history's signatures, but for those of verified candidates. The order is fixed when
-    the index is made: tokens that appear later count as rare, and any fixed order loses no pair.
+    postings/ has (key, cid) in `buckets` directories by hash of the key, signatures/ the classes in blocks of cid.
+    A probe reads the buckets its own keys fall into and the blocks of the classes it hits, so what it reads grows with
+    the batch as long as that has fewer keys than there are buckets; create() makes one bucket for `per_bucket`
+    postings. A batch becomes visible by its commit file, written last; a crashed append is overwritten by the next one.
+    The order is fixed when the index is made: tokens that appear later count as rare, and any fixed order loses no pair.
     """
 
-    def __init__(self, spark: SparkSession, path: str, threshold: float = 0.85, buckets: int = 16) -> None:
-        self.spark, self.path, self.threshold, self.buckets = spark, path.rstrip("/"), threshold, buckets
-        self._counts = None
+    #: Classes of one directory of signatures/.
+    BLOCK = 1 << 13
+
+    def __init__(self, spark: SparkSession, path: str, threshold: float = 0.85) -> None:
+        self.spark, self.path, self.threshold = spark, path.rstrip("/"), threshold
+        self._counts, self._buckets = None, None
 
     @classmethod
-    def create(cls, rows: DataFrame, path: str, threshold: float = 0.85, buckets: int = 16) -> SignatureIndex:
+    def create(cls, rows: DataFrame, path: str, threshold: float = 0.85, per_bucket: int = 1 << 17, most_buckets: int = 1 << 14) -> SignatureIndex:
         """Index the distinct signatures of rows (segment_name, kmer_signature) and fix the order by all of them."""
-        self = cls(rows.sparkSession, path, threshold, buckets)
+        self = cls(rows.sparkSession, path, threshold)
         entries = S.classes(rows)
         self._counts, _ = S.rarity(entries)
         counts = self._counts.value.reshape(S.BLOCKS, -1)
-        self.spark.createDataFrame([(i, counts[i].tobytes()) for i in range(S.BLOCKS)], "block int, counts binary").coalesce(1).write.parquet(f"{self.path}/order")
-        self.append(entries)
+        self.spark.createDataFrame([(i, counts[i].tobytes()) for i in range(S.BLOCKS)], "block int, counts binary").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/order")
+        keys = entries.agg(F.coalesce(F.sum(F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)) + 1), F.lit(0))).first()[0]
+        self._buckets = max(1, min(most_buckets, -(-int(keys) // per_bucket)))
+        self.spark.createDataFrame([(self._buckets,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/shape")
+        self.append(entries, F.lit(-1).cast("long"))
         return self
 
     @property
     def counts(self):
         """The broadcast order sketch; read from order/ when an index is opened again."""
         if self._counts is None:
-            import numpy as np
-
             got = sorted(self.spark.read.parquet(f"{self.path}/order").collect(), key=lambda r: r["block"])
-            self._counts = self.spark.sparkContext.broadcast(np.concatenate([np.frombuffer(r["counts"], dtype=np.uint32) for r in got]))
+            self._counts = share(self.spark, np.concatenate([np.frombuffer(r["counts"], dtype=np.uint32) for r in got]))
         return self._counts
 
-    def signatures(self) -> DataFrame:
-        return self.spark.read.schema(ENTRY).parquet(f"{self.path}/signatures")
-
-    def postings(self) -> DataFrame:
-        return self.spark.read.schema("key long, cid long, bucket int").parquet(f"{self.path}/postings")
-
-    def next_cid(self) -> int:
-        """The first free cid, from column statistics and one small aggregate."""
-        try:
-            return (self.signatures().agg(F.max("cid")).first()[0] or -1) + 1
-        except Exception as e:  # noqa: BLE001  the first append
-            if "PATH_NOT_FOUND" in str(e):
-                return 0
-            raise
-
-    def append(self, entries: DataFrame) -> None:
-        """Add the postings and signatures of classes() of a batch whose cids are free (see next_cid)."""
-        post = S.postings(entries, self.counts, self.threshold).withColumn("bucket", F.pmod("key", F.lit(self.buckets)).cast("int"))
-        post.repartition("bucket", F.pmod(F.shiftright("key", 8), F.lit(8))).sortWithinPartitions("bucket", "key").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/postings")
-        entries.write.mode("append").parquet(f"{self.path}/signatures")
+    @property
+    def buckets(self) -> int:
+        if self._buckets is None:
+            self._buckets = self.spark.read.parquet(f"{self.path}/shape").first()[0]
+        return self._buckets
+
+    # --- batches ------------------------------------------------------------------------------------------------------
+
+    def _path(self, name: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _names(self, name: str) -> list[str]:
+        fs, p = self._path(name)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+    def batches(self) -> list[int]:
+        return sorted(map(int, self._names("commits")))
+
+    def _read(self, name: str, schema: str, part: str, wanted: list[int] | None) -> DataFrame:
+        """Rows of the committed batches, of some directories only; what isn't wanted isn't even listed."""
+        paths = []
+        for n in self.batches():
+            there = self._names(f"{name}/{n}")
+            want = None if wanted is None else {f"{part}={w}" for w in wanted}
+            paths += [f"{self.path}/{name}/{n}/{x}" for x in there if x.startswith(f"{part}=") and (want is None or x in want)]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def signatures(self, blocks: list[int] | None = None) -> DataFrame:
+        """Classes with the smallest submission that brought them (-1: history)."""
+        return self._read("signatures", ENTRY, "block", blocks)
+
+    def postings(self, buckets: list[int] | None = None) -> DataFrame:
+        return self._read("postings", "key long, cid long", "bucket", buckets)
+
+    def _next_cid(self) -> int:
+        """The first free cid, from the last block of each committed batch."""
+        top = [-1]
+        for n in self.batches():
+            blocks = [int(x.split("=")[1]) for x in self._names(f"signatures/{n}") if x.startswith("block=")]
+            if blocks:
+                top.append(self.spark.read.schema(ENTRY).parquet(f"{self.path}/signatures/{n}/block={max(blocks)}").agg(F.max("cid")).first()[0])
+        return max(top) + 1
+
+    def _bucket(self, post: DataFrame) -> DataFrame:
+        return post.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
+
+    def append(self, entries: DataFrame, first: Column) -> None:
+        """Add classes() of a batch with their postings; first is the column of the smallest submission of a class."""
+        n, base = (self.batches() or [-1])[-1] + 1, self._next_cid()
+        # cids without gaps: a staged partition's rows are numbered from its number times 2^33
+        lot = F.shiftright("cid", 33).cast("int")
+        sizes = entries.groupBy(lot.alias("lot")).agg(F.count("*").alias("k"))
+        before = sizes.select("lot", (F.sum("k").over(Window.orderBy("lot")) - F.col("k") + F.lit(base)).alias("b"))  # one row a partition
+        own = [f.split(" ")[0] for f in ENTRY.split(", ")][1:-1]
+        numbered = entries.withColumn("lot", lot).join(F.broadcast(before), "lot").select((F.col("b") + F.col("cid").bitwiseAND(F.lit((1 << 33) - 1))).cast("long").alias("cid"), *own, first.alias("first_sub"))
+        post = self._bucket(S.postings(numbered, self.counts, self.threshold))
+        post.repartition("bucket").sortWithinPartitions("bucket", "key").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/{n}")
+        numbered.withColumn("block", F.floor(F.col("cid") / self.BLOCK).cast("int")).write.mode("overwrite").partitionBy("block").parquet(f"{self.path}/signatures/{n}")
+        fs, p = self._path(f"commits/{n}")
+        fs.create(p, False).close()
 
     def probe(self, entries: DataFrame) -> DataFrame:
-        """(cid, found, n, equal): each class of a batch with the indexed classes it agrees with in the threshold."""
-        probes = S.postings(entries, self.counts, self.threshold).withColumn("bucket", F.pmod("key", F.lit(self.buckets)).cast("int"))
-        hits = probes.join(self.postings().withColumnRenamed("cid", "found"), ["bucket", "key"]).select("cid", "found").distinct()
-        return _verified(hits, entries, self.signatures(), self.threshold)
+        """(cid, found, n, equal, first_sub): each class of a batch with the indexed classes it agrees with in the threshold."""
+        probes = stage(self._bucket(S.postings(entries, self.counts, self.threshold)), "probes")
+        wanted = [r[0] for r in probes.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        old = self.postings(wanted).withColumnRenamed("cid", "found")
+        hits = stage(old.join(broadcast_if_small(probes.drop("bucket"), 64 << 20), "key").select("cid", "found").distinct(), "hits")
+        blocks = [r[0] for r in hits.select(F.floor(F.col("found") / self.BLOCK).cast("int").alias("b")).distinct().limit(1 << 16).collect()]
+        right = self.signatures(blocks if len(blocks) < 1 << 16 else None)
+        return _verified(hits, entries, right, self.threshold, "first_sub")
 
     def within(self, entries: DataFrame) -> DataFrame:
         """(cid, found, n, equal), cid < found: pairs inside a batch."""
         return _verified(candidate_pairs(S.postings(entries, self.counts, self.threshold)).toDF("cid", "found"), entries, entries, self.threshold)
 
 
-def _verified(hits: DataFrame, left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
+def _verified(hits: DataFrame, left: DataFrame, right: DataFrame, threshold: float, *keep: str) -> DataFrame:
     a = left.select("cid", "n", *CODE)
-    b = right.select(F.col("cid").alias("found"), F.col("n").alias("nb"), *(F.col(c).alias(f"{c}b") for c in CODE))
+    b = right.select(F.col("cid").alias("found"), F.col("n").alias("nb"), *(F.col(c).alias(f"{c}b") for c in CODE), *keep)
     j = hits.join(a, "cid").join(b, "found").where("n = nb")
     unequal = S.unequal_fields(F.col("n"), [F.col(c) for c in CODE], [F.col(f"{c}b") for c in CODE])
-    close = j.where(unequal <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))).select("cid", "found", "n")
+    close = j.where(unequal <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))).select("cid", "found", "n", *keep)
     return S.verified(close, left, threshold, "cid", "found", right)
 
 
@@ -92,44 +144,92 @@ def plain_id(c: str = "sequence_id"):
     return F.lower(F.regexp_replace(c, r"(?U)\s+", ""))
 
 
-def check_batches(index: SignatureIndex, history_ids: DataFrame, incoming: DataFrame) -> DataFrame:
-    """(submission_id, known_id, near_duplicate) for each submission, in order of arrival.
+def usable_ids(df: DataFrame) -> DataFrame:
+    return df.where("segment_name is not null and pid is not null")
+
 
-    known_id: history_ids or a smaller submission_id has the segment and the id apart from case and blanks;
-    near_duplicate: the index or a smaller submission_id has a comparable signature in the threshold. Submissions of
-    all batches are taken at once; the order of arrival decides who is earlier, as if they came batch by batch.
-    Null ids or segments and unusable signatures match nothing; the submissions stay in the result.
+def check_batch(index: SignatureIndex, history_ids: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(result, classes, firsts) of one batch against the index and the ids accepted so far.
+
+    result has (submission_id, known_id, near_duplicate). known_id: history_ids (segment_name, pid) or a smaller
+    submission_id of the batch has the segment and the id apart from case and blanks; near_duplicate: the index or a
+    smaller submission_id has a comparable signature in the threshold. Null ids or segments and unusable signatures
+    match nothing; the submissions stay in the result. classes and firsts (cid, low) are what accept() appends.
     """
     sub = incoming.select("submission_id", "segment_name", plain_id().alias("pid"), "kmer_signature")
-    old = history_ids.select("segment_name", plain_id().alias("pid")).where("segment_name is not null and pid is not null").distinct().withColumn("old", F.lit(True))
-    first = sub.where("segment_name is not null and pid is not null").groupBy("segment_name", "pid").agg(F.min("submission_id").alias("first_sub"))
+    old = usable_ids(history_ids).select("segment_name", "pid").distinct().withColumn("old", F.lit(True))
+    first = usable_ids(sub).groupBy("segment_name", "pid").agg(F.min("submission_id").alias("first_sub"))
+    mine = usable_ids(sub).select("segment_name", "pid").distinct()
+    old = old.join(broadcast_if_small(mine), ["segment_name", "pid"], "left_semi")
     ids = sub.select("submission_id", "segment_name", "pid").join(first, ["segment_name", "pid"], "left").join(old, ["segment_name", "pid"], "left")
     ids = ids.select("submission_id", (F.coalesce("old", F.lit(False)) | F.coalesce(F.col("first_sub") < F.col("submission_id"), F.lit(False))).alias("known_id"))
     cls = S.classes(sub.select("segment_name", "kmer_signature"))
     mem = S.members(sub, cls, "submission_id").select("cid", "submission_id")
-    low = mem.groupBy("cid").agg(F.min("submission_id").alias("low"))
-    old_hit = index.probe(cls).select("cid").distinct().withColumn("hit", F.lit(True))
+    low = stage(mem.groupBy("cid").agg(F.min("submission_id").alias("low")), "firsts")
+    before = index.probe(cls).groupBy("cid").agg(F.min("first_sub").alias("before"))
     inner = stage(index.within(cls).select("cid", "found"), "within")
     both = inner.union(inner.select("found", "cid").toDF("cid", "found"))
     linked = both.join(low.withColumnRenamed("cid", "found"), "found").groupBy("cid").agg(F.min("low").alias("linked"))
-    near = mem.join(low, "cid").join(old_hit, "cid", "left").join(linked, "cid", "left")
-    near = near.select("submission_id", (F.coalesce("hit", F.lit(False)) | (F.col("low") < F.col("submission_id")) | F.coalesce(F.col("linked") < F.col("submission_id"), F.lit(False))).alias("near"))
-    return ids.join(near, "submission_id", "left").select("submission_id", "known_id", F.coalesce("near", F.lit(False)).alias("near_duplicate"))
+    near = mem.join(low, "cid").join(before, "cid", "left").join(linked, "cid", "left")
+    near = near.select("submission_id", (F.least("low", "before", "linked") < F.col("submission_id")).alias("near"))
+    out = ids.join(near, "submission_id", "left").select("submission_id", "known_id", F.coalesce("near", F.lit(False)).alias("near_duplicate"))
+    return out, cls, low
+
 
+def accept(index: SignatureIndex, cls: DataFrame, firsts: DataFrame) -> None:
+    """Append a checked batch's classes to the index, with the smallest submission of each."""
+    if not cls.isEmpty():
+        index.append(cls.join(firsts.withColumnRenamed("low", "_low"), "cid"), F.col("_low"))
 
-def accept(index: SignatureIndex, incoming: DataFrame) -> None:
-    """Append a checked batch's signatures to the index."""
-    cls = S.classes(incoming)
-    base = index.next_cid()
-    index.append(stage(cls.withColumn("cid", F.col("cid") + F.lit(base)), "accepted"))
+
+def arrivals(incoming: DataFrame) -> list[tuple[int, int]]:
+    """The batches in order of arrival, as ranges of submission_id; batches whose ranges overlap are taken together.
+
+    One row a batch comes to the driver. Rows of a null batch_no are a batch.
+    """
+    spans = incoming.where("submission_id is not null").groupBy("batch_no").agg(F.min("submission_id").alias("a"), F.max("submission_id").alias("b")).orderBy("a").collect()
+    out: list[tuple[int, int]] = []
+    for _, a, b in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def check_batches(index: SignatureIndex, history_ids: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(submission_id, known_id, near_duplicate) of all submissions, batch after batch.
+
+    Each batch probes the index, then its signatures and ids are added to what the next one is checked against; the
+    history is read only where a batch hits it. Submissions without an id are left out; an empty table gives no rows.
+    """
+    ids = history_ids.select("segment_name", plain_id().alias("pid"))
+    incoming = incoming.select("submission_id", "batch_no", "sequence_id", "segment_name", "kmer_signature")
+    out = None
+    for a, b in arrivals(incoming):
+        part = incoming.where(F.col("submission_id").between(a, b))
+        got, cls, firsts = check_batch(index, ids, part)
+        got = stage(got, "checked")
+        accept(index, cls, firsts)
+        ids = ids.union(part.select("segment_name", plain_id().alias("pid")))
+        discard(cls, firsts)
+        out = got if out is None else out.union(got)
+    return incoming.sparkSession.createDataFrame([], "submission_id long, known_id boolean, near_duplicate boolean") if out is None else out
 
 
 def p6_checked(spark, sf_dir: str) -> DataFrame:
-    """Every submission with what makes it known."""
+    """Every submission with what makes it known; known_isolate tells whether sequences has its isolate, with any segment."""
+    incoming, isolates = table(spark, sf_dir, "incoming_segments"), table(spark, sf_dir, "sequences").select(plain_id().alias("pid")).where("pid is not null").distinct()
+    there = incoming.select("submission_id", plain_id().alias("pid")).join(isolates, "pid", "left_semi").select("submission_id", F.lit(True).alias("there"))
+    out = _checked(spark, sf_dir).join(there, "submission_id", "left")
+    return out.select("submission_id", "known_id", "near_duplicate", F.coalesce("there", F.lit(False)).alias("known_isolate"))
+
+
+def _checked(spark, sf_dir: str) -> DataFrame:
     seg = table(spark, sf_dir, "segment_kmers")
     index = SignatureIndex.create(seg.select("segment_name", "kmer_signature"), scratch(spark, "index"))
     return check_batches(index, seg, table(spark, sf_dir, "incoming_segments"))
 
 
 def p6_found(spark, sf_dir: str) -> DataFrame:
-    return p6_checked(spark, sf_dir).where("known_id or near_duplicate").select("submission_id")
+    return _checked(spark, sf_dir).where("known_id or near_duplicate").select("submission_id")
