@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from octoseg.llm import signatures as S
 from octoseg.llm.near_duplicates import connected_components
-from octoseg.runtime import stage, table
+from octoseg.runtime import discard, share, stage, table
 
 #: Dimensions of the hashed feature vectors.
 DIM = 512
 #: Leaders taken from what is still unlinked, in each of so many rounds.
 LEADERS, ROUNDS = 1024, 3
+#: Leaders that are compared at once: those of all blocks and groups, or fewer, as the check after them is exact anyway.
+MOST_LEADERS = 8192
 
 
 def features(lanes: np.ndarray, grp: np.ndarray, counts: np.ndarray, rows: int) -> np.ndarray:
@@ -82,7 +84,7 @@ class KMeans:
         return self._recluster(held, weight)
 
     def _sample(self, held: np.ndarray, cost: float, r: int) -> list:
-        centres, most, rows, counts = self.spark.sparkContext.broadcast(held), 2 * self.k, self.rows, self.counts
+        centres, most, rows, counts = share(self.spark, held), 2 * self.k, self.rows, self.counts
         salt = np.uint64((self.seed * 1000 + r) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +100,7 @@ class KMeans:
         return self.cls.mapInArrow(run, "cost double, sample binary").collect()
 
     def _sums(self, centres_: np.ndarray, weigh_only: bool = False) -> list:
-        centres, rows, counts = self.spark.sparkContext.broadcast(centres_), self.rows, self.counts
+        centres, rows, counts = share(self.spark, centres_), self.rows, self.counts
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = len(centres.value)
@@ -139,7 +141,7 @@ class KMeans:
 
     def assign(self) -> DataFrame:
         """(cid, block, off): the nearest centre of each class and its squared distance."""
-        centres, rows, counts = self.spark.sparkContext.broadcast(self.centres), self.rows, self.counts
+        centres, rows, counts = share(self.spark, self.centres), self.rows, self.counts
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for cid, x in _feature_batches(batches, counts.value, rows):
@@ -159,7 +161,7 @@ def leader_links(cls: DataFrame, leaders: list, threshold: float) -> DataFrame:
         ids, lanes = by.setdefault(r["grp"], ([], []))
         ids.append(r["cid"])
         lanes.append(np.frombuffer(r["lanes"], "<u8"))
-    held = cls.sparkSession.sparkContext.broadcast({g: (np.array(i, dtype=np.int64), np.stack(m)) for g, (i, m) in by.items()})
+    held = share(cls.sparkSession, {g: (np.array(i, dtype=np.int64), np.stack(m)) for g, (i, m) in by.items()})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -193,13 +195,13 @@ def token_rows(cls: DataFrame) -> DataFrame:
     return cls.select("cid", "grp", "lanes").mapInArrow(run, "cid long, n int, token long")
 
 
-def linked_components(cls: DataFrame, blocks: DataFrame, threshold: float) -> DataFrame:
+def linked_components(cls: DataFrame, blocks: DataFrame, threshold: float, hot: int = 1000, most_rounds: int = 40) -> DataFrame:
     """(node, component): connected sets of classes under agreement of threshold or more, exact.
 
     Leaders are the members nearest each centre, then a bounded number of those still unlinked, round by round; each
-    class is linked to the leaders it agrees with. Then the check that makes it exact: a class that agrees with any
-    member of another component shares that many tokens with the component's token set. The few pairs of a class and a
-    component that do are compared member by member; new links merge components, until there are none.
+    class is linked to the leaders it agrees with. Then the check that makes it exact (cross_links()) until it finds no
+    link between two components. Every round merges components; their number bounds the rounds, most_rounds ends a run
+    that doesn't settle with an error.
     """
     first = blocks.join(cls.select("cid", "grp"), "cid")
     w = Window.partitionBy("block", "grp").orderBy("off", "cid")
@@ -208,7 +210,7 @@ def linked_components(cls: DataFrame, blocks: DataFrame, threshold: float) -> Da
     for r in range(ROUNDS + 1):
         if r:
             heads = left.orderBy(F.xxhash64("cid", F.lit(r))).limit(LEADERS).select("cid")
-        chosen = cls.join(heads, "cid").select("cid", "grp", "lanes").collect()
+        chosen = cls.join(heads, "cid").select("cid", "grp", "lanes").limit(MOST_LEADERS).collect()
         if not chosen:
             break
         new = stage(leader_links(cls, chosen, threshold), "links")
@@ -218,42 +220,87 @@ def linked_components(cls: DataFrame, blocks: DataFrame, threshold: float) -> Da
         return cls.select(F.col("cid").alias("node"), F.col("cid").alias("component"))
     tok = stage(token_rows(cls), "tokens")
     edges = links.select(F.col("cid").alias("a"), F.col("leader").alias("b"))
-    need = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))
-    while True:
+    last = None
+    for _ in range(most_rounds):
         comp = connected_components(edges, "a", "b")
         comp = stage(cls.select("cid", "n").join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left").select("cid", "n", F.coalesce("component", "cid").alias("component")), "components")
-        t = tok.join(comp.select("cid", "component"), "cid")
-        sets = t.select("token", F.col("component").alias("other")).distinct()
-        shared = sets.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-        sets = sets.join(shared, "token", "left_semi")
-        near = t.join(shared, "token", "left_semi").join(sets, "token").where("component <> other").groupBy("cid", "n", "other").agg(F.count("*").alias("k")).where(F.col("k") >= need)
-        pairs = near.join(comp.select(F.col("cid").alias("to"), F.col("component").alias("other")), "other").select("cid", "to", "n").distinct()
-        found = stage(S.verified(pairs, cls, threshold, "cid", "to").select(F.col("cid").alias("a"), F.col("to").alias("b")), "found")
+        found = stage(cross_links(cls, tok, comp, threshold, hot), "found")
         if found.isEmpty():
+            discard(tok, last)
             return comp.select(F.col("cid").alias("node"), "component")
-        edges = edges.union(found)
+        discard(last)
+        last = comp  # what is linked so far is a star to each component's smallest class
+        edges = comp.select(F.col("cid").alias("a"), F.col("component").alias("b")).union(found)
+    raise RuntimeError(f"clusters did not settle in {most_rounds} rounds")
+
+
+def cross_links(cls: DataFrame, tok: DataFrame, comp: DataFrame, threshold: float, hot: int) -> DataFrame:
+    """(a, b): links between classes of different components; empty only if there is none.
+
+    A link is seen from the smaller component of the two: its class shares `need` tokens with the token set of the
+    larger one, so only these pairs of a class and a component are compared member by member. A token in more than
+    `hot` components is left out of that count, and the least number shared is lowered by how many such tokens the
+    class has; a class with so many of them that nothing else need be shared is looked up by pairs of its hot tokens.
+    """
+    need = F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9)).cast("int")
+    size = comp.groupBy("component").agg(F.struct(F.count("*"), F.col("component")).alias("rank"))
+    t = stage(tok.join(comp.select("cid", "component"), "cid"), "sets")
+    sets = t.select("token", F.col("component").alias("other")).distinct()
+    width = stage(sets.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "shared")
+    cold, often = width.where(F.col("k") <= hot).select("token"), stage(width.where(F.col("k") > hot).select("token"), "hot")
+    ranks = size.select(F.col("component").alias("other"), F.col("rank").alias("other_rank"))
+    mine = stage(t.join(cold, "token", "left_semi").join(size, "component"), "cold")
+    theirs = mine.select("token", F.col("component").alias("other"), F.col("rank").alias("other_rank")).distinct()
+    some = not often.isEmpty()
+    hots = stage(t.join(often, "token", "left_semi").groupBy("cid").agg(F.count("*").alias("h")), "hots") if some else None
+    near = mine.join(theirs, "token").where("rank < other_rank").groupBy("cid", "n", "other").agg(F.count("*").alias("k"))
+    if some:
+        near = near.join(hots, "cid", "left").where(F.col("k") + F.coalesce("h", F.lit(0)) >= need)
+    else:
+        near = near.where(F.col("k") >= need)
+    near = near.select("cid", "n", "other")
+    if some:
+        # two classes that share `need` hot tokens share two of the first h - need + 2 in any fixed order
+        full = t.join(often, "token", "left_semi").join(hots, "cid").where(F.col("h") >= need)
+        lists = full.groupBy("cid", "n", "component", "h").agg(F.array_sort(F.collect_list("token")).alias("ts"))
+        head = F.slice("ts", 1, F.greatest(F.col("h") - need + 2, F.lit(2)))
+        twos = F.flatten(F.transform(head, lambda x, i: F.transform(F.slice(head, i + 2, F.size(head)), lambda y: F.xxhash64(x, y))))
+        keys = F.when(need == 1, F.col("ts")).otherwise(twos)  # one token in common is enough for the shortest signatures
+        two = lists.select("cid", "n", "component", F.explode(keys).alias("two")).join(size, "component")
+        also = two.join(two.select("two", F.col("component").alias("other"), F.col("rank").alias("other_rank")).distinct(), "two").where("rank < other_rank").select("cid", "n", "other")
+        near = near.union(also).distinct()
+    pairs = near.join(comp.select(F.col("cid").alias("to"), F.col("component").alias("other")), "other").select("cid", "to", "n").distinct()
+    return S.verified(pairs, cls, threshold, "cid", "to").select(F.col("cid").alias("a"), F.col("to").alias("b"))
 
 
 def similarity_clusters(seg: DataFrame, threshold: float = 0.25, least: int = 3, k: int = 256) -> DataFrame:
-    """(cluster, segment_name, sequence_id, typical_id, size, centre_off): members of clusters of at least `least` records.
+    """(cluster, segment_name, sequence_id, typical_id, size, fit): members of clusters of at least `least` records.
 
     seg has sequence_id, segment_name, kmer_signature, distance_to_centroid. typical_id is the member with the smallest
-    distance from 0 to 1 (ties: the smaller id), null if no member has one; centre_off is the squared distance of the
-    member to its k-means centre; cluster tells clusters of one call apart. Unusable signatures and null ids take no part; an empty table gives no rows.
+    distance from 0 to 1 (ties: the smaller id), null if no member has one. fit is the member's inner product with the
+    cluster's centroid, the mean of its members' token vectors: the mean number of members that share one of its tokens,
+    over their number; the nearest member has the greatest. cluster tells clusters of one call apart. Unusable
+    signatures and null ids take no part; an empty table gives no rows.
     """
     rec = seg.where("sequence_id is not null and segment_name is not null").select("sequence_id", "segment_name", "kmer_signature", "distance_to_centroid")
     cls = S.classes(rec)
     if cls.isEmpty():
-        return cls.sparkSession.createDataFrame([], "cluster long, segment_name string, sequence_id string, typical_id string, size long, centre_off double")
+        return cls.sparkSession.createDataFrame([], "cluster long, segment_name string, sequence_id string, typical_id string, size long, fit double")
     counts, _ = S.rarity(cls)
     blocks = stage(KMeans(cls, counts, k).assign(), "blocks")
     comp = linked_components(cls, blocks, threshold)
     ok = "distance_to_centroid between 0 and 1 and not isnan(distance_to_centroid)"
-    mem = S.members(rec, cls, "sequence_id").join(comp.withColumnRenamed("node", "cid"), "cid").join(blocks.select("cid", "off"), "cid")
+    mem = stage(S.members(rec, cls, "sequence_id").join(comp.withColumnRenamed("node", "cid"), "cid"), "members")
+    size = mem.groupBy("component").agg(F.count("*").alias("size")).where(F.col("size") >= least)
+    # how many members share each token, class by class with its number of copies
+    own = stage(mem.join(size, "component").groupBy("cid", "component", "size").agg(F.count("*").alias("w")), "weights")
+    cells = token_rows(cls).join(own, "cid")
+    share_ = cells.groupBy("component", "token").agg(F.sum("w").alias("c"))
+    fit = cells.join(share_, ["component", "token"]).groupBy("cid").agg((F.sum("c") / (F.first("n") * F.first("size"))).alias("fit"))
     best = rec.where(ok).groupBy("segment_name", "sequence_id").agg(F.min("distance_to_centroid").alias("d"))
-    mem = mem.groupBy("component", "segment_name", "sequence_id").agg(F.min("off").alias("centre_off")).join(best, ["segment_name", "sequence_id"], "left")
-    top = mem.groupBy("component").agg(F.count("*").alias("size"), F.min(F.when(F.col("d").isNotNull(), F.struct("d", "sequence_id"))).alias("top")).where(F.col("size") >= least)
-    return mem.join(top, "component").select(F.col("component").alias("cluster"), "segment_name", "sequence_id", F.col("top.sequence_id").alias("typical_id"), "size", "centre_off")
+    mem = mem.join(size, "component").join(fit, "cid").join(best, ["segment_name", "sequence_id"], "left")
+    top = mem.groupBy("component").agg(F.min(F.when(F.col("d").isNotNull(), F.struct("d", "sequence_id"))).alias("top"))
+    return mem.join(top, "component").select(F.col("component").alias("cluster"), "segment_name", "sequence_id", F.col("top.sequence_id").alias("typical_id"), "size", "fit")
 
 
 def provisional(spark, sf_dir: str) -> DataFrame:
@@ -265,7 +312,7 @@ def p7_found(spark, sf_dir: str) -> DataFrame:
 
 
 def p7_clusters(spark, sf_dir: str) -> DataFrame:
-    """Each cluster's size, typical member and the members nearest its centre."""
-    m = similarity_clusters(provisional(spark, sf_dir))
-    r = m.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy("centre_off", "sequence_id"))).where("r <= 3")
-    return r.groupBy("cluster", "segment_name", "typical_id", "size").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "sequence_id"))), lambda x: x["sequence_id"]).alias("nearest")).drop("cluster")
+    """Each cluster's size, typical member and the three members nearest its centroid."""
+    m = similarity_clusters(provisional(spark, sf_dir)).withColumn("fit", F.round("fit", 9))
+    r = m.withColumn("r", F.row_number().over(Window.partitionBy("cluster").orderBy(F.desc("fit"), "sequence_id"))).where("r <= 3")
+    return r.groupBy("cluster", "segment_name", "typical_id", "size").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("r", "sequence_id"))), lambda x: x["sequence_id"]), ",").alias("nearest")).drop("cluster")

@@ -1,6 +1,7 @@
 import math
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -231,3 +232,41 @@ def test_links_that_no_leader_sees_are_found(spark):
     for k, c in comp.items():
         big.setdefault(c, []).append(k)
     assert {(r["segment_name"], r["sequence_id"]) for r in got} == {k for ks in big.values() if len(ks) >= 3 for k in ks} and got
+
+
+def test_hot_tokens_lose_no_link(df):
+    """With every shared token hot, classes are found by pairs of hot tokens; the clusters stay the same."""
+    cls = S.classes(N.records(df))
+    counts, _ = S.rarity(cls)
+    blocks = C.KMeans(cls, counts, 2).assign()
+    for hot in (1, 3, 1000):
+        comp = {r["node"]: r["component"] for r in C.linked_components(cls, blocks, 0.25, hot).collect()}
+        sets = {}
+        for k, c in comp.items():
+            sets.setdefault(c, set()).add(k)
+        if hot == 1:
+            first = sets
+        assert sets == first
+    tok, none = C.token_rows(cls), cls.selectExpr("cid", "n", "cid as component")
+    want = {frozenset((r["a"], r["b"])) for r in C.cross_links(cls, tok, none, 0.25, 1000).collect()}
+    assert want and {frozenset((r["a"], r["b"])) for r in C.cross_links(cls, tok, none, 0.25, 1).collect()} == want
+
+
+def test_one_large_cluster_and_singles_with_a_common_token(spark):
+    """A third of all rows in one cluster, and singles that share one token only: no link is made up, none is lost."""
+    rng = random.Random(7)
+    centre = [rng.getrandbits(64) for _ in range(64)]
+    rows = []
+    for i in range(2000):
+        v = [x if rng.random() < 0.7 else rng.getrandbits(64) for x in centre]
+        rows.append((i, f"c{i:05d}", "HA", X.signature(v), rng.random(), "provisional", 1, "", ""))
+    for i in range(4000):
+        v = [77, *(rng.getrandbits(64) for _ in range(63))]
+        rows.append((9000 + i, f"s{i:05d}", "HA", X.signature(v), 0.5, "provisional", 1, "", ""))
+    got = C.similarity_clusters(spark.createDataFrame(rows, X.SCHEMA)).collect()
+    assert {r["sequence_id"] for r in got} == {r[1] for r in rows[:2000]} and {r["size"] for r in got} == {2000}
+    best = min(rows[:2000], key=lambda r: (r[4], r[1]))[1]
+    assert {r["typical_id"] for r in got} == {best}
+    lanes = {r[1]: v for r, (_, v) in zip(rows[:2000], (X.records([r])[("HA", r[1])] for r in rows[:2000]))}
+    share = Counter(x for v in lanes.values() for x in enumerate(v))
+    assert all(r["fit"] == pytest.approx(sum(share[x] for x in enumerate(lanes[r["sequence_id"]])) / (64 * 2000)) for r in got)
