@@ -6,11 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from octoseg.runtime import broadcast_if_small, table
+from octoseg.runtime import broadcast_if_small, discard, stage, table
 
 #: Lots of summaries of a group after each level of merging.
 LEVELS = (256, 16, 1)
@@ -145,14 +145,18 @@ def merge_summaries(*parts: DataFrame, group: list[str], eps: float = 0.001) ->
 
 
 def rank_bounds(summaries: DataFrame, group: list[str], p: float) -> DataFrame:
-    """(*group, n, low, high): values that enclose the two order statistics of percentile p (linear interpolation)."""
+    """(*group, n, low, high, open): values that enclose the two order statistics of percentile p (linear interpolation),
+    and the greatest number of values there may be from low to high."""
     r = F.lit(p) * (F.col("n") - 1)
-    first, last = F.floor(r) + 1, F.ceil(r) + 1
-    return summaries.groupBy(*group).agg(
-        F.first("n").alias("n"),
-        F.coalesce(F.max(F.when(F.col("lt_hi") < first, F.col("value"))), F.min("value")).alias("low"),
-        F.coalesce(F.min(F.when(F.col("le_lo") >= last, F.col("value"))), F.max("value")).alias("high"),
-    )
+    return _enclosed(summaries, group, F.floor(r) + 1, F.ceil(r) + 1)
+
+
+def _enclosed(summaries: DataFrame, group: list[str], first: Column, last: Column) -> DataFrame:
+    cell = lambda c: F.struct("value", c)
+    low = F.coalesce(F.max(F.when(F.col("lt_hi") < first, cell("lt_lo"))), F.min(cell("lt_lo")))
+    high = F.coalesce(F.min(F.when(F.col("le_lo") >= last, cell("le_hi"))), F.max(cell("le_hi")))
+    out = summaries.groupBy(*group).agg(F.first("n").alias("n"), low.alias("l"), high.alias("h"))
+    return out.select(*group, "n", F.col("l.value").alias("low"), F.col("h.value").alias("high"), (F.col("h.le_hi") - F.col("l.lt_lo")).alias("open"))
 
 
 def approximate_percentiles(summaries: DataFrame, group: list[str], ps: list[float]) -> DataFrame:
@@ -163,20 +167,34 @@ def approximate_percentiles(summaries: DataFrame, group: list[str], ps: list[flo
     return s.groupBy(*group, "p").agg(F.min_by("value", F.struct(off, F.col("value"))).alias("value"), F.first("n").alias("n"), F.first("err").alias("err"))
 
 
-def exact_percentile(df: DataFrame, group: list[str], value: str, p: float, eps: float = 0.001) -> DataFrame:
+def exact_percentile(df: DataFrame, group: list[str], value: str, p: float, eps: float = 0.001, most: int = 1 << 20, most_rounds: int = 12) -> DataFrame:
     """(*group, n, q): the percentile by linear interpolation, exact.
 
-    The summaries' bounds enclose the order statistics it needs; a second pass counts what lies under the lower bound
-    and ranks only the distinct values between the bounds, about 2 eps of a group.
+    The summaries' bounds enclose the order statistics it needs. While a group may have more than `most` values between
+    its bounds, those are summarised again by themselves, which narrows the bounds by another factor of about 2 eps;
+    so the last pass, which counts what lies under the lower bound and ranks the distinct values between the bounds,
+    holds a fixed number of them for each group, whatever its size. Bounds that meet in one value are narrow enough.
     """
     rows = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*group, F.col(value).cast("double").alias("_v"))
-    bounds = rank_bounds(quantile_summaries(rows, group, "_v", eps), group, p)
-    on = F.lit(True)
-    b = bounds.select(*(F.col(g).alias(f"_{g}") for g in group), F.col("n").alias("_n"), F.col("low").alias("_low"), F.col("high").alias("_high"))
-    for g in group:
-        on = on & F.col(g).eqNullSafe(F.col(f"_{g}"))
-    j = rows.join(broadcast_if_small(b), on).where("_v <= _high")
-    c = j.groupBy(*group, "_n", F.when(F.col("_v") < F.col("_low"), F.lit(None)).otherwise(F.col("_v")).alias("_x")).agg(F.count("*").alias("_k"))
+    bounds = stage(rank_bounds(quantile_summaries(rows, group, "_v", eps), group, p), "bounds")
+    for _ in range(most_rounds):
+        wide = bounds.where((F.col("open") > most) & (F.col("low") < F.col("high")))
+        before = wide.agg(F.sum("open")).first()[0]
+        if not before:
+            break
+        inside = _within(rows, wide, group)
+        under = inside.where("_v < _low").groupBy(*group).agg(F.count("*").alias("_under"))
+        again = quantile_summaries(inside.where("_v >= _low").select(*group, F.col("_v")), group, "_v", eps)
+        again = _same(again, wide.select(*group, F.col("n").alias("_n")), group)
+        again = _same(again, under, group, "left")
+        r, skip = F.lit(p) * (F.col("_n") - 1), F.coalesce("_under", F.lit(0))
+        new = _enclosed(again.withColumns({"_first": F.floor(r) + 1 - skip, "_last": F.ceil(r) + 1 - skip, "n": F.col("_n")}), group, F.col("_first"), F.col("_last"))
+        rest = bounds.where(~((F.col("open") > most) & (F.col("low") < F.col("high"))))
+        last, bounds = bounds, stage(rest.unionByName(new), "bounds")
+        discard(last)
+        if bounds.where((F.col("open") > most) & (F.col("low") < F.col("high"))).agg(F.sum("open")).first()[0] == before:
+            break  # so many equal values that bounds can't be narrower; they are one row each in the last pass
+    c = _within(rows, bounds, group).groupBy(*group, "_n", F.when(F.col("_v") < F.col("_low"), F.lit(None)).otherwise(F.col("_v")).alias("_x")).agg(F.count("*").alias("_k"))
     w = Window.partitionBy(*group).orderBy(F.col("_x").asc_nulls_first())
     c = c.withColumn("_upto", F.sum("_k").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_x is not null")
     r = F.lit(p) * (F.col("_n") - 1)
@@ -186,6 +204,20 @@ def exact_percentile(df: DataFrame, group: list[str], value: str, p: float, eps:
     return c.select(*group, F.col("_n").alias("n"), (F.col("_lo") + (r - F.floor(r)) * (F.col("_hi") - F.col("_lo"))).alias("q"))
 
 
+def _same(a: DataFrame, b: DataFrame, group: list[str], how: str = "inner") -> DataFrame:
+    """a joined with b on groups, null ones included; b has few rows."""
+    c = b.select(*(F.col(g).alias(f"_{g}") for g in group), *(x for x in b.columns if x not in group))
+    on = F.lit(True)
+    for g in group:
+        on = on & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return a.join(broadcast_if_small(c), on, how).drop(*(f"_{g}" for g in group))
+
+
+def _within(rows: DataFrame, bounds: DataFrame, group: list[str]) -> DataFrame:
+    """Rows up to the upper bound of their group, with _n, _low and _high."""
+    return _same(rows, bounds.select(*group, F.col("n").alias("_n"), F.col("low").alias("_low"), F.col("high").alias("_high")), group).where("_v <= _high")
+
+
 GROUP = ["segment_name", "is_orphan"]
 
 

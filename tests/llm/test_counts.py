@@ -92,3 +92,12 @@ def test_exact_percentiles(spark):
         assert got.keys() == groups(rows).keys()
         assert all(k[0] == len(groups(rows)[g]) and k[1] == pytest.approx(np.percentile(groups(rows)[g], 100 * p)) for g, k in got.items())
     assert Q.exact_percentile(df.limit(0), ["grp"], "v", 0.5).count() == 0
+
+
+def test_narrowed_percentiles(spark):
+    """Bounds that hold too much are narrowed again and again; ties that can't be narrowed are one row."""
+    rows, df = frame(spark, 4_000, 4)
+    for p, most in ((0.5, 20), (0.9, 3), (0.123, 0)):
+        got = {r["grp"]: (r["n"], r["q"]) for r in Q.exact_percentile(df, ["grp"], "v", p, 0.1, most).collect()}
+        assert got.keys() == groups(rows).keys()
+        assert all(k[0] == len(groups(rows)[g]) and k[1] == pytest.approx(np.percentile(groups(rows)[g], 100 * p)) for g, k in got.items())
