@@ -15,7 +15,7 @@ WINDOW = 200_000
 
 
 def source_totals(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, max_repeats, available, total, reachable) for each source of targets.
+    """(source, target_share, max_repeats, available, total) for each source of targets.
 
     total counts the tokens of all documents with a source, in targets or not. A source without documents has none.
     Repeated target rows count once; a null max_repeats is 1, a null share 0.
@@ -23,8 +23,7 @@ def source_totals(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     by = sizes.where("source is not null").groupBy("source").agg(F.sum("tokens").alias("available"))
     t = targets.where("source is not null").select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats")).distinct()
     out = t.join(by, "source", "left").withColumn("available", F.coalesce("available", F.lit(0)))
-    out = out.crossJoin(F.broadcast(by.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total"))))  # one row
-    return out.withColumn("reachable", F.col("available") * F.col("max_repeats") >= F.col("target_share") * F.col("total"))
+    return out.crossJoin(F.broadcast(by.agg(F.coalesce(F.sum("available"), F.lit(0)).alias("total"))))  # one row
 
 
 def tilts(sizes: DataFrame, totals: DataFrame, tolerance: float = 1e-9, most_steps: int = 60) -> dict[str, tuple[float, float, int]]:
@@ -76,8 +75,9 @@ def tilts(sizes: DataFrame, totals: DataFrame, tolerance: float = 1e-9, most_ste
 def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(copies, report): copies has (key, source, tokens, rate, copies), report one row for each source of targets.
 
-    No document has more than max_repeats copies. A source that can't reach its target gives all it may and is
-    reported with its actual share of the mixture. Sources outside targets and null sources give no copies; empty and
+    report: source, target_share, max_repeats, available, goal (tokens), used, actual_share, share_of_goal, and full: the
+    dual's solution leaves no document of the source below max_repeats copies. No document has more than that. A source
+    that is full and still short of its goal can't reach it and gives all it may. Sources outside targets and null sources give no copies; empty and
     null texts have no tokens and rate 1. Rates become whole copies by systematic rounding in order of size within
     windows of a source, so a window's tokens are off by about one document.
     """
@@ -95,16 +95,21 @@ def mix(documents: DataFrame, targets: DataFrame, key: str = "doc_id", text: str
     shift = F.pmod(F.xxhash64("source", "lot"), F.lit(997)) / F.lit(997.0)
     r = r.withColumn("upto", F.round(upto, 9)).withColumn("copies", (F.floor(F.col("upto") + shift) - F.floor(F.round(F.col("upto") - F.col("rate"), 9) + shift)).cast("int"))
     copies = r.select(key, "source", "tokens", "rate", F.least("copies", F.col("cap").cast("int")).alias("copies"))
-    used = copies.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used"))
-    rep = totals.join(used, "source", "left").withColumn("used", F.coalesce("used", F.lit(0)))
+    room = (F.col("tokens") > 0) & (F.col("copies") < F.col("cap").cast("int"))
+    used = r.withColumn("copies", F.least("copies", F.col("cap").cast("int"))).groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used"), (~F.max(room)).alias("full"))
+    rep = totals.join(used, "source", "left").withColumns({"used": F.coalesce("used", F.lit(0)), "full": F.coalesce("full", F.lit(True)), "goal": F.col("target_share") * F.col("total")})
     every = rep.agg(F.sum("used").alias("mixed"))
-    rep = rep.crossJoin(F.broadcast(every)).select("source", "target_share", "max_repeats", "available", "used", F.when(F.col("mixed") > 0, F.col("used") / F.col("mixed")).otherwise(0.0).alias("actual_share"), (F.col("used") / F.when(F.col("total") > 0, F.col("total"))).alias("share_of_goal"), "reachable")  # one row
+    rep = rep.crossJoin(F.broadcast(every)).select("source", "target_share", "max_repeats", "available", "goal", "used", F.when(F.col("mixed") > 0, F.col("used") / F.col("mixed")).otherwise(0.0).alias("actual_share"), (F.col("used") / F.when(F.col("total") > 0, F.col("total"))).alias("share_of_goal"), "full")  # one row
     return copies, rep
 
 
 def p9_found(spark, sf_dir: str) -> DataFrame:
-    sizes = token_counts(table(spark, sf_dir, "documents"), ["doc_id", "source"])
-    return source_totals(stage(sizes, "sizes"), table(spark, sf_dir, "mix_targets")).where("not reachable").select("source")
+    """Sources that the solved mixture leaves short of their goal with all their documents at max_repeats."""
+    return p9_report(spark, sf_dir).where(F.col("full") & (F.col("used") < F.col("goal"))).select("source")
+
+
+def p9_report(spark, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
 
 
 def p9_mix(spark, sf_dir: str) -> DataFrame:
@@ -112,4 +117,5 @@ def p9_mix(spark, sf_dir: str) -> DataFrame:
 
 
 def p9_shares(spark, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))[1]
+    """The report of the mixture: goal, tokens used and actual share of each source."""
+    return p9_report(spark, sf_dir)

@@ -104,7 +104,8 @@ def test_mixture(spark, oracle):
     total = sum(size[i] for i in size if src[i % len(src)] is not None)
     cap = {"a": 2, "b": 5, "c": 2}
     assert all(r["copies"] <= cap[r["source"]] and r["tokens"] == size[r["doc_id"]] for r in rows)
-    assert {s: r["reachable"] for s, r in rep.items()} == {"a": True, "b": True, "c": False, "none": False, "zero": True}
+    assert {s for s, r in rep.items() if r["full"] and r["used"] < r["goal"]} == {"c", "none"}
+    assert {s: r["full"] for s, r in rep.items()} == {"a": False, "b": False, "c": True, "none": True, "zero": True}
     for s in ("a", "b"):
         assert rep[s]["used"] == pytest.approx(rep[s]["target_share"] * total, abs=130)
         mine = [r for r in rows if r["source"] == s and r["tokens"]]
