@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import argparse
-import json
+import logging
 import sys
-from pathlib import Path
+from dataclasses import replace
+from pathlib import PurePosixPath
+
+from pyspark.sql import SparkSession
 
 from octoseg import config as C
 from octoseg.plans.pipeline import Pipeline
@@ -46,35 +49,45 @@ def build_parser() -> argparse.ArgumentParser:
         x.add_argument(a, required=True)
     x.add_argument("--db", default="data/store")
     x.add_argument("--dry-run", action="store_true")
+    for c in (r, x):
+        c.add_argument("--master", help="Spark master; without it spark-submit's, or all cores of this machine")
+        c.add_argument("--log-level", choices=["DEBUG", "INFO", "WARN", "ERROR"], default="WARN")
     return p
 
 
-def config_of(a: argparse.Namespace) -> C.Config:
-    cfg = C.Config()
-    cfg.kmer.num_hashes, cfg.kmer.hash_seed = a.num_hashes or cfg.kmer.num_hashes, a.hash_seed
-    cfg.clustering.min_cluster_size, cfg.clustering.linkage_method, cfg.clustering.dev_mode = a.min_cluster_size, a.linkage, a.dev_mode
-    r = cfg.reassortment
-    r.significance_level, r.bonferroni, r.combination_method, r.multiplicity = a.alpha, not a.no_bonferroni, a.combination, a.multiplicity
-    r.distance_zscore_threshold, r.min_confidence, r.permutation_n = a.zscore_threshold, a.min_confidence, a.permutations
-    return cfg
+def settings_of(a: argparse.Namespace) -> C.Settings:
+    sketch, grouping, screen = C.Sketch(seed=a.hash_seed), C.Grouping(linkage=a.linkage, least=C.TRIAL_LEAST if a.dev_mode else a.min_cluster_size), C.Screen()
+    return C.Settings(
+        replace(sketch, lanes=a.num_hashes) if a.num_hashes else sketch,
+        grouping,
+        replace(screen, alpha=a.alpha, share_alpha=not a.no_bonferroni, combine=a.combination, correction=a.multiplicity, z=a.zscore_threshold, least_confidence=a.min_confidence, draws=a.permutations),
+    )
+
+
+def open_session(a: argparse.Namespace) -> SparkSession:
+    spark = session(master=a.master)
+    spark.sparkContext.setLogLevel(a.log_level)
+    logging.basicConfig(level=getattr(logging, {"WARN": "WARNING"}.get(a.log_level, a.log_level)))
+    return spark
 
 
 def cmd_run(a: argparse.Namespace) -> int:
-    if not Path(a.fasta).exists():
+    spark = open_session(a)
+    try:
+        raw = parse_fasta(spark, a.fasta)
+    except FileNotFoundError:
         print(f"no such file: {a.fasta}", file=sys.stderr)
         return 1
-    spark = session()
-    p = Pipeline(Store(spark, a.db), config_of(a))
+    p = Pipeline(Store(spark, a.db), settings_of(a))
     p.initialize(a.allow_param_change)
-    raw, detect = parse_fasta(spark, a.fasta), not a.no_reassortment
+    detect = not a.no_reassortment
     if a.mode == "incremental":
         out = p.run_incremental(raw, a.subtype, a.cluster_version, detect)
     elif a.mode == "recluster":
         out = p.run_recluster(raw, a.subtype, a.cluster_version, detect)
     else:
         out = p.run(raw, a.subtype, a.cluster_version or "v1", detect)
-    stem = f"{a.out_dir}/{Path(a.fasta).stem}_{a.mode}"
-    Path(a.out_dir).mkdir(parents=True, exist_ok=True)
+    stem = f"{a.out_dir}/{PurePosixPath(a.fasta).stem}_{a.mode}"
     if not a.no_tsv and "profiles" in out:
         E.write_tsv(E.genotypes_tsv(out["profiles"]), f"{stem}_genotypes.tsv")
         if a.mode == "incremental":
@@ -86,21 +99,16 @@ def cmd_run(a: argparse.Namespace) -> int:
             E.write_tsv(E.events_tsv(out["events"]), f"{stem}_reassortment.tsv")
             if a.validate_reassortment:
                 E.write_tsv(E.validation_tsv(p.validate_reassortments(out["events"], out["long"], a.permutations), a.permutations), f"{stem}_validation.tsv")
-    E.write_summary(out["summary"], f"{stem}_summary.json")
-    print(E.summary_text(out["summary"]))
+    E.write_summary(spark, out["summary"], f"{stem}_summary.json")
+    print(E.run_report(out["summary"]))
     return 0
 
 
 def cmd_repair(a: argparse.Namespace) -> int:
-    spark = session()
-    store = Store(spark, a.db)
-    cfg = C.Config()
-    if stored := store.fingerprint():
-        f = json.loads(stored)
-        cfg.kmer = C.KmerConfig(segment_k=f["segment_k"], num_hashes=f["num_hashes"], hash_seed=f["hash_seed"], canonical=f["canonical"], hash_backend=f["hash_backend"])
-    p = Pipeline(store, cfg)
+    store = Store(open_session(a), a.db)
+    p = Pipeline(store, C.Settings(store.sketch() or C.Sketch()))
     p.initialize()
-    print(E.summary_text(p.repair_allele_subtype(a.segment, a.correct_subtype, a.misnamed_allele, a.cluster_version, a.dry_run)))
+    print(E.repair_report(a.segment, a.correct_subtype, a.misnamed_allele, p.repair_allele_subtype(a.segment, a.correct_subtype, a.misnamed_allele, a.cluster_version, a.dry_run)))
     return 0
 
 

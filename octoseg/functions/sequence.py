@@ -32,7 +32,7 @@ def sequence_notes(seq: str | Column, segment: str | Column) -> Column:
     """What is odd about a cleaned sequence, as an array; lengths alone never make it invalid."""
     s, seg = _c(seq), _c(segment)
     n, amb = F.length(s), ambiguity(s)
-    low, high = (literal_map({k: v[i] for k, v in C.SEGMENT_LENGTHS.items()})[seg] for i in (0, 1))
+    low, high = (literal_map({row[0]: row[i] for row in C.TABLE})[seg] for i in (4, 5))
     span = F.concat(n.cast("string"), F.lit(" bp, expected "), low.cast("string"), F.lit("-"), high.cast("string"), F.lit(")"))
     length = (
         F.when(n < low * 0.5, F.concat(F.lit("Very short ("), span))
@@ -105,12 +105,13 @@ def subtype_short(subtype: str | Column) -> Column:
 
 
 def allele_subtype_number(name: str | Column) -> Column:
-    """The middle number of SEG.n.m, else null."""
-    return F.nullif(F.regexp_extract(_c(name), r"^[^.]*\.(\d+)\.[^.]*$", 1), F.lit("")).try_cast("int")
+    """The middle number of SEG.n.m, SEG in capitals and digits; null for names of another form."""
+    return F.nullif(F.regexp_extract(_c(name), r"^[A-Z0-9]+\.(\d+)\.\d+$", 1), F.lit("")).try_cast("int")
 
 
 def reverse_complement(seq: str | Column) -> Column:
-    return F.reverse(F.translate(_c(seq), C.COMPLEMENT_FROM, C.COMPLEMENT_TO))
+    pair = C.complements()
+    return F.reverse(F.translate(_c(seq), "".join(pair), "".join(pair.values())))
 
 
 def canonical_kmer(kmer: str | Column) -> Column:
@@ -129,9 +130,18 @@ def kmers(seq: str | Column, k: int | Column, canonical: bool = True) -> Column:
     return F.when(F.length(s) >= kk, every).otherwise(F.array().cast("array<string>"))
 
 
-def kmer_size(segment: str | Column, cfg: C.KmerConfig | None = None) -> Column:
-    cfg = cfg or C.KmerConfig()
-    return F.coalesce(literal_map(cfg.segment_k)[_c(segment)], F.lit(cfg.default_k))
+def plain_kmers(seq: str, k: int, both_strands: bool = True) -> list[str]:
+    """kmers() of one text, for letters that have no code."""
+    pair = str.maketrans(C.complements())
+    found = [seq[i : i + k] for i in range(len(seq) - k + 1)] if k > 0 else []
+    found = [x for x in found if "N" not in x]
+    return [min(x, x[::-1].translate(pair)) for x in found] if both_strands else found
+
+
+def kmer_size(segment: str | Column, sketch: C.Sketch | None = None) -> Column:
+    """k of a segment's signatures."""
+    sketch = sketch or C.Sketch()
+    return F.coalesce(literal_map(dict(sketch.k))[_c(segment)], F.lit(sketch.other_k))
 
 
 def signature_header(sig: str | Column) -> Column:
@@ -158,13 +168,6 @@ def signature_lanes(sig: str | Column) -> Column:
     return F.when(n >= 1, F.transform(F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1), lambda i: F.hex(s.substr(i * 8 + 17, F.lit(8)))))
 
 
-def lane_agreement(a: str | Column, b: str | Column) -> Column:
-    """Equal lanes of two lane arrays over their number; arrays of different length raise."""
-    x, y = _c(a), _c(b)
-    same = F.size(F.filter(F.zip_with(x, y, lambda p, q: p == q), lambda e: e)) / F.size(x)
-    return F.when(F.size(x) == F.size(y), same).otherwise(F.raise_error(F.lit("signatures of different parameters")).cast("double"))
-
-
 def lane_distance(a: str | Column, b: str | Column) -> Column:
     """1 - agreement; 1 where the arrays differ in length or are empty."""
     x, y = _c(a), _c(b)

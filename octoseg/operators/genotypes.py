@@ -83,14 +83,13 @@ def compare(a: DataFrame, b: DataFrame, on: str = "pair") -> DataFrame:
     return m.withColumn("concordance", F.col("matching") / F.greatest(F.col("matching") + F.col("differing"), F.lit(1)))
 
 
-def genotype_groups(p: DataFrame, most: int = 1000) -> DataFrame:
-    """(profile_string, size, first_id, ids): isolates of one profile; ids are listed for groups of at most `most`.
+def genotype_groups(p: DataFrame) -> DataFrame:
+    """(profile_string, size, first_id, sequence_id): each isolate with its group; the members of a group are its rows.
 
-    Larger groups are given by size and first id; their members are rows of p, never gathered.
+    One form at every size: no group is gathered into a list.
     """
     size = p.groupBy("profile_string").agg(F.count("*").alias("size"), F.min("sequence_id").alias("first_id"))
-    ids = p.join(size.where(F.col("size") <= most), "profile_string").groupBy("profile_string").agg(F.array_sort(F.collect_list("sequence_id")).alias("ids"))
-    return size.join(ids, "profile_string", "left")
+    return p.select("profile_string", "sequence_id").join(size, "profile_string").select("profile_string", "size", "first_id", "sequence_id")
 
 
 def genotype_summary(p: DataFrame) -> DataFrame:
@@ -100,3 +99,8 @@ def genotype_summary(p: DataFrame) -> DataFrame:
         F.coalesce(F.sum("size"), F.lit(0)).alias("total"), F.count("*").alias("unique_profiles"), F.coalesce(F.sum("c"), F.lit(0)).alias("complete"), F.coalesce(F.sum(F.col("size") - F.col("c")), F.lit(0)).alias("partial"),
         F.coalesce(F.max("size"), F.lit(0)).alias("largest_group"), F.count_if(F.col("size") == 1).alias("singletons"),
     )
+
+
+def genotype_distribution(p: DataFrame) -> DataFrame:
+    """(profile_string, size): isolates of each profile, the distribution behind genotype_summary()."""
+    return p.groupBy("profile_string").agg(F.count("*").alias("size"))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from octoseg import config as C
 from octoseg.functions import sequence as Q
+from octoseg.sources.fasta import parse_fasta, parse_fasta_string
 
 
 def classified(raw: DataFrame, default_subtype: str | None = None) -> DataFrame:
@@ -42,6 +43,16 @@ def process_records(raw: DataFrame, default_subtype: str | None = None, order: l
     return isolates, segments.join(isolates.select("sequence_id", "subtype"), "sequence_id")
 
 
+def process_file(spark: SparkSession, path: str, default_subtype: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """process_records() of the sequence files of a path; a missing path raises."""
+    return process_records(parse_fasta(spark, path), default_subtype, ["file", "pos"])
+
+
+def process_string(df: DataFrame, text: str, key: str, default_subtype: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """process_records() of the texts of a column; key orders the rows."""
+    return process_records(parse_fasta_string(df, text, key), default_subtype, [key, "pos"])
+
+
 def processing_summary(isolates: DataFrame, segments: DataFrame) -> DataFrame:
     """(kind, name, n): totals, isolates by subtype, and coverage of all eight segments, zeros included."""
     spark = isolates.sparkSession

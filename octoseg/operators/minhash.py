@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from octoseg import config as C
 from octoseg.functions import sequence as Q
@@ -64,16 +65,80 @@ def selftest() -> None:
         raise RuntimeError("the hash function does not give its reference value")
 
 
-def unique_kmers(seq: bytes, k: int, canonical: bool = True) -> np.ndarray:
-    """The distinct k-mers without N of a sequence, as a byte matrix."""
+#: Letters of a code, two bits each, and the letters themselves by code.
+_CODE = np.full(256, 4, np.uint8)
+_CODE[np.frombuffer(b"ACGT", np.uint8)] = np.arange(4, dtype=np.uint8)
+
+
+def _window_codes(s: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, good) of all windows of k letters, 2 bits a letter, k up to 31; good: only A, C, G and T in it.
+
+    A window of 2 m letters is made of two of m, so the work is a few passes over the sequence, whatever k.
+    """
+    c = _CODE[s]
+    bad = c == 4
+    part, width = np.where(bad, 0, c).astype(np.uint64), 1
+    out, have = None, 0
+    rest = k
+    while rest:
+        if rest & 1:
+            m = len(s) - have - width + 1
+            if m <= 0:
+                return np.zeros(0, np.uint64), np.zeros(0, bool)
+            out = part[:m].copy() if out is None else (out[:m] << np.uint64(2 * width)) | part[have : have + m]
+            have += width
+        rest >>= 1
+        if rest:
+            m = len(part) - width
+            if m <= 0:
+                return np.zeros(0, np.uint64), np.zeros(0, bool)
+            part, width = (part[:m] << np.uint64(2 * width)) | part[width : width + m], 2 * width
+    upto = np.concatenate([[0], np.cumsum(bad)])
+    n = len(s) - k + 1
+    return out[:n], upto[k:] == upto[:n]
+
+
+def _reverse_codes(x: np.ndarray, k: int) -> np.ndarray:
+    """The codes of the reverse complements."""
+    x = ~x
+    for shift, mask in ((2, 0x3333333333333333), (4, 0x0F0F0F0F0F0F0F0F), (8, 0x00FF00FF00FF00FF), (16, 0x0000FFFF0000FFFF)):
+        m = np.uint64(mask)
+        x = ((x >> np.uint64(shift)) & m) | ((x & m) << np.uint64(shift))
+    x = (x >> np.uint64(32)) | (x << np.uint64(32))
+    return x >> np.uint64(64 - 2 * k)
+
+
+def kmer_codes(s: np.ndarray, k: int, both_strands: bool = True) -> np.ndarray | None:
+    """The codes of the k-mers without N at every position, the smaller of both strands; None where codes can't tell
+    them: k over 31, or letters other than A, C, G, T and N. The order of codes is that of the letters."""
+    if not 0 < k <= 31 or (_CODE[s][s != ord("N")] == 4).any():
+        return None
+    if len(s) < k:
+        return np.zeros(0, np.uint64)
+    x, good = _window_codes(s, k)
+    x = x[good]
+    return np.minimum(x, _reverse_codes(x, k)) if both_strands and len(x) else x
+
+
+def kmer_letters(codes: np.ndarray, k: int) -> np.ndarray:
+    """The letters of codes as a byte matrix."""
+    shift = np.arange(2 * (k - 1), -1, -2, dtype=np.uint64)
+    return np.frombuffer(b"ACGT", np.uint8)[((codes[:, None] >> shift[None, :]) & np.uint64(3)).astype(np.int64)]
+
+
+def unique_kmers(seq: bytes, k: int, both_strands: bool = True) -> np.ndarray:
+    """The distinct k-mers without N of a sequence, as a byte matrix in order."""
     if len(seq) < k or k <= 0:
         return np.zeros((0, max(k, 1)), np.uint8)
     s = np.frombuffer(seq, np.uint8)
+    codes = kmer_codes(s, k, both_strands)
+    if codes is not None:
+        return kmer_letters(np.unique(codes), k)
     win = np.lib.stride_tricks.sliding_window_view(s, k)
     win = np.ascontiguousarray(win[~(win == ord("N")).any(axis=1)])
-    if canonical and len(win):
-        to = np.arange(256, dtype=np.uint8)
-        to[np.frombuffer(C.COMPLEMENT_FROM.encode(), np.uint8)] = np.frombuffer(C.COMPLEMENT_TO.encode(), np.uint8)
+    if both_strands and len(win):
+        pair, to = C.complements(), np.arange(256, dtype=np.uint8)
+        to[np.frombuffer("".join(pair).encode(), np.uint8)] = np.frombuffer("".join(pair.values()).encode(), np.uint8)
         back = np.ascontiguousarray(to[win[:, ::-1]])
         f, b = win.view(f"S{k}").ravel(), back.view(f"S{k}").ravel()
         win = np.where((f <= b)[:, None], win, back)
@@ -82,38 +147,36 @@ def unique_kmers(seq: bytes, k: int, canonical: bool = True) -> np.ndarray:
     return np.unique(np.ascontiguousarray(win).view(f"S{k}").ravel()).view(np.uint8).reshape(-1, k)
 
 
-def signature_bytes(seq: str | None, k: int, cfg: C.KmerConfig) -> bytes:
+def signature_bytes(seq: str | None, k: int, sketch: C.Sketch) -> bytes:
     """Stored bytes: num_hashes, seed, positions, distinct k-mers as four u32, then lane i = min(h1 + i h2) as u64.
 
     Positions count those with an N, too. No k-mers leave all lanes at 2^64 - 1.
     """
     raw = (seq or "").encode()
-    km = unique_kmers(raw, k, cfg.canonical)
-    lanes = np.full(cfg.num_hashes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
+    km = unique_kmers(raw, k, sketch.both_strands)
+    lanes = np.full(sketch.lanes, 0xFFFFFFFFFFFFFFFF, dtype=np.uint64)
     if len(km):
-        h1, h2 = murmur3_x64_128(km, cfg.hash_seed)
-        step = max(1, (1 << 20) // max(cfg.num_hashes, 1))
-        i = np.arange(cfg.num_hashes, dtype=np.uint64)
+        h1, h2 = murmur3_x64_128(km, sketch.seed)
+        step = max(1, (1 << 16) // max(sketch.lanes, 1))
+        i = np.arange(sketch.lanes, dtype=np.uint64)
         with np.errstate(over="ignore"):
             for a in range(0, len(km), step):
                 lanes = np.minimum(lanes, (h1[a : a + step, None] + i[None, :] * h2[a : a + step, None]).min(axis=0))
-    return struct.pack("<4I", cfg.num_hashes, cfg.hash_seed, max(0, len(raw) - k + 1), len(km)) + lanes.astype("<u8").tobytes()
+    return struct.pack("<4I", sketch.lanes, sketch.seed, max(0, len(raw) - k + 1), len(km)) + lanes.astype("<u8").tobytes()
 
 
-def build_signatures(segments: DataFrame, cfg: C.KmerConfig | None = None, seq: str = "seq", segment: str = "segment") -> DataFrame:
+def build_signatures(segments: DataFrame, sketch: C.Sketch | None = None, seq: str = "seq", segment: str = "segment") -> DataFrame:
     """segments of known names with k_value and kmer_signature in place of the sequence; one narrow pass."""
-    cfg = cfg or C.KmerConfig()
+    sketch = sketch or C.Sketch()
     selftest()
-    df = segments.where(F.col(segment).isin(C.SEGMENTS)).withColumn("k_value", Q.kmer_size(segment, cfg))
+    df = segments.where(F.col(segment).isin(C.SEGMENTS)).withColumn("k_value", Q.kmer_size(segment, sketch))
     keep = [c for c in df.columns if c != seq]
-    from pyspark.sql.types import BinaryType, StructField, StructType
-
     schema = StructType([*(df.schema[c] for c in keep), StructField("kmer_signature", BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s, k = b.column(b.schema.names.index(seq)).to_pylist(), b.column(b.schema.names.index("k_value")).to_pylist()
-            sig = pa.array([signature_bytes(x, y, cfg) for x, y in zip(s, k)], pa.binary())
+            sig = pa.array([signature_bytes(x, y, sketch) for x, y in zip(s, k)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(c)) for c in keep), sig], names=[*keep, "kmer_signature"])
 
     return df.mapInArrow(run, schema)
@@ -152,18 +215,58 @@ def merge_signatures(df: DataFrame, keys: list[str], signature: str = "kmer_sign
     return rows.select(*keys, "lane", value.alias("value")).groupBy(*keys, "lane").agg(F.min("value").alias("value"))
 
 
-def kmer_frequencies(df: DataFrame, keys: list[str], seq: str, k: int, canonical: bool = True) -> DataFrame:
-    """(*keys, kmer, n): how often each k-mer occurs in each sequence."""
-    return df.select(*keys, F.explode(Q.kmers(seq, k, canonical)).alias("kmer")).groupBy(*keys, "kmer").agg(F.count("*").alias("n"))
+def kmer_frequencies(df: DataFrame, keys: list[str], seq: str, k: int, both_strands: bool = True) -> DataFrame:
+    """(*keys, kmer, n): how often each k-mer without N occurs for each key.
+
+    Tasks count the integer codes of each batch before the shuffle, which sends 8 bytes a k-mer; letters come back after
+    the last count. k-mers with other letters than A, C, G and T, or longer than 31, go as text beside them.
+    """
+    schema = StructType([*(df.schema[c] for c in keys), StructField("code", LongType()), StructField("text", StringType()), StructField("n", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, codes, texts, counts = [], [], [], []
 
+            def add(i: int, code: np.ndarray, text: list, n: np.ndarray) -> None:
+                rows.append(np.full(len(n), i))
+                codes.append(code)
+                texts.extend(text)
+                counts.append(n)
 
-def kmer_counts(df: DataFrame, keys: list[str], seq: str, ks: list[int], canonical: bool = True) -> DataFrame:
+            held = []
+            for i, x in enumerate(b.column(len(keys)).to_pylist()):
+                s = np.frombuffer((x or "").encode(), np.uint8)
+                c = kmer_codes(s, k, both_strands)
+                if c is None:
+                    t, n = np.unique([z for z in Q.plain_kmers(x or "", k, both_strands)], return_counts=True)
+                    add(i, np.full(len(t), -1), [str(z) for z in t], n)
+                elif keys:
+                    u, n = np.unique(c, return_counts=True)
+                    add(i, u.view(np.int64), [None] * len(u), n)
+                elif len(c):
+                    held.append(c)
+            if held:  # without keys a batch is counted as one
+                u, n = np.unique(np.concatenate(held), return_counts=True)
+                add(0, u.view(np.int64), [None] * len(u), n)
+            if rows:
+                at = pa.array(np.concatenate(rows).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*(b.column(j).take(at) for j in range(len(keys))), pa.array(np.concatenate(codes).astype(np.int64)), pa.array(texts, pa.string()), pa.array(np.concatenate(counts).astype(np.int64))], names=[*keys, "code", "text", "n"])
+
+    out = df.select(*keys, seq).mapInArrow(run, schema).groupBy(*keys, "code", "text").agg(F.sum("n").alias("n"))
+    return out.select(*keys, F.coalesce("text", decoded(F.col("code"), k)).alias("kmer"), "n")
+
+
+def decoded(code: Column, k: int) -> Column:
+    """The letters of a k-mer's code."""
+    digits = F.lpad(F.conv(code.cast("string"), 10, 4), k, "0")
+    return F.translate(digits, "0123", "ACGT")
+
+
+def kmer_counts(df: DataFrame, keys: list[str], seq: str, ks: list[int], both_strands: bool = True) -> DataFrame:
     """(*keys, k, total, distinct_kmers) of each sequence: k-mers without N and how many of them differ; one narrow pass.
 
     A null sequence counts as empty.
     """
-    from pyspark.sql.types import IntegerType, LongType, StructField, StructType
-
     schema = StructType([*(df.schema[c] for c in keys), StructField("k", IntegerType()), StructField("total", LongType()), StructField("distinct_kmers", LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,24 +274,32 @@ def kmer_counts(df: DataFrame, keys: list[str], seq: str, ks: list[int], canonic
             rows, kk, total, distinct = [], [], [], []
             for i, x in enumerate(b.column(len(keys)).to_pylist()):
                 raw = (x or "").encode()
-                at = np.flatnonzero(np.frombuffer(raw, np.uint8) == ord("N"))
+                s = np.frombuffer(raw, np.uint8)
                 for k in ks:
-                    n = max(0, len(raw) - k + 1)
-                    if n and len(at):
-                        hit = np.zeros(n + 1, np.int64)
-                        np.add.at(hit, np.maximum(at - k + 1, 0), 1)
-                        np.add.at(hit, np.minimum(at + 1, n), -1)
-                        n = int((np.cumsum(hit[:-1]) == 0).sum())
+                    c = kmer_codes(s, k, both_strands)
+                    if c is None:
+                        every = sliding_without_n(s, k)
+                        total.append(every)
+                        distinct.append(len(unique_kmers(raw, k, both_strands)))
+                    else:
+                        total.append(len(c))
+                        distinct.append(len(np.unique(c)))
                     rows.append(i)
                     kk.append(k)
-                    total.append(n)
-                    distinct.append(len(unique_kmers(raw, k, canonical)))
             at_ = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*(b.column(j).take(at_) for j in range(len(keys))), pa.array(kk, pa.int32()), pa.array(total, pa.int64()), pa.array(distinct, pa.int64())], names=[*keys, "k", "total", "distinct_kmers"])
 
     return df.select(*keys, seq).mapInArrow(run, schema)
 
 
+def sliding_without_n(s: np.ndarray, k: int) -> int:
+    """The number of windows of k letters without an N."""
+    if len(s) < k or k <= 0:
+        return 0
+    upto = np.concatenate([[0], np.cumsum(s == ord("N"))])
+    return int((upto[k:] == upto[: len(s) - k + 1]).sum())
+
+
 def parameter_sweep(df: DataFrame, seq: str, ks: list[int] | None = None) -> DataFrame:
     """(k, mean_unique, std_unique, mean_total, mean_ratio) for each k (15, 17 to 31): all ks in one pass."""
     c = kmer_counts(df, [], seq, ks or list(range(15, 32, 2)))

@@ -228,7 +228,7 @@ def signature_union(spark: SparkSession, d: str) -> DataFrame:
 def build_signatures(spark: SparkSession, d: str) -> DataFrame:
     """Signatures of all texts as sequences of segment M."""
     s = dna(spark, d).where("dna is not null").select("doc_id", F.lit("M").alias("segment"), F.col("dna").alias("seq"))
-    b = M.build_signatures(s, C.KmerConfig(num_hashes=64))
+    b = M.build_signatures(s, C.Sketch(lanes=64))
     h = Q.signature_header("kmer_signature")
     return b.select("doc_id", h["kmer_count"].alias("kmer_count"), h["unique_kmer_count"].alias("unique_kmer_count"), F.md5("kmer_signature").alias("digest"))
 
@@ -260,7 +260,7 @@ def reference(spark: SparkSession, d: str) -> DataFrame:
 
 REF = f"ref as (select distinct subtype, segment_name as segment, concat_ws('/', version, cluster_id) as cluster_id, hex(centroid_signature) as c from clusters where is_active = 1 and segment_name is not null and subtype is not null and {USABLE.replace('kmer_signature', 'centroid_signature')})"
 #: Sketches of 64 lanes lie about 0.7 from their centroid, so the stored clusters are matched at 0.6.
-LOOSE = C.ClusteringConfig(segment_thresholds={x: {"same": 0.6} for x in C.SEGMENTS})
+LOOSE = C.Grouping(same={x: 0.6 for x in C.SEGMENTS})
 _THRESHOLD_SQL = "0.6 + case subtype when 'H3N2' then -0.02 else 0 end"
 
 
@@ -275,15 +275,14 @@ def assign_to_existing(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def cluster_average(spark: SparkSession, d: str) -> DataFrame:
     """Average-linkage clusters of the records of all versions, each set of parameters apart, with medoid, size, diameter and radius."""
-    cfg = C.ClusteringConfig(dev_mode=True)
-    c, _ = K.cluster_signatures(all_records(spark, d), cfg)
+    c, _ = K.cluster_signatures(all_records(spark, d), C.Grouping(least=2))
     return c.select("subtype", "segment", "cluster_id", "medoid", "size", F.round("mean_diameter", 6).alias("mean_diameter"), F.round("radius", 6).alias("radius"))
 
 
 @query()
 def cluster_orphans(spark: SparkSession, d: str) -> DataFrame:
     """Orphans of the same clustering with the nearest cluster."""
-    _, a = K.cluster_signatures(all_records(spark, d), C.ClusteringConfig(dev_mode=True))
+    _, a = K.cluster_signatures(all_records(spark, d), C.Grouping(least=2))
     return a.where("is_orphan").select("subtype", "segment", "sequence_id", "nearest_cluster", F.round("nearest_distance", 6).alias("nearest_distance"))
 
 
@@ -374,7 +373,7 @@ def allele_match(spark: SparkSession, d: str) -> DataFrame:
     """The best known allele of each record of a known subtype."""
     r = records(spark, d).where(F.col("subtype").isin(C.SUBTYPES))
     q = r.select(F.concat_ws("|", "sequence_id", "segment").alias("query_id"), "segment", "subtype", Q.subtype_number("subtype").alias("subtype_num"), "lanes")
-    q = q.join(F.broadcast(K.threshold_table(spark, C.SUBTYPES, LOOSE)), ["segment", "subtype"])  # sixteen rows
+    q = K.with_threshold(q, LOOSE)
     a = table(spark, d, "allele_registry").where("is_active = 1").where(Q.is_usable("centroid_signature")).select("allele_name", F.col("segment_name").alias("segment"), "subtype_num", Q.signature_lanes("centroid_signature").alias("lanes"))
     return N.best_match(q, a).withColumn("similarity", F.round("similarity", 6))
 
@@ -460,7 +459,7 @@ def stouffer_scores(spark: SparkSession, d: str) -> DataFrame:
 def stage1_events(spark: SparkSession, d: str) -> DataFrame:
     long = long_profiles(spark, d)
     ok = long.groupBy("sequence_id").agg(F.count_if(F.col("status") == "ASSIGNED").alias("k")).where("k >= 6")
-    return R.stage1_events(long.join(ok, "sequence_id", "left_semi"), C.ReassortmentConfig(min_confidence=0.5))
+    return R.stage1_events(long.join(ok, "sequence_id", "left_semi"), C.Screen(least_confidence=0.5))
 
 
 _STAGE0 = f"""with {ALLELES}, n as (select *, try_cast(nullif(regexp_extract(allele, '^[^.]*\\.(\\d+)\\.[^.]*$', 1), '') as int) as num from al),
@@ -492,8 +491,9 @@ def constellations_and_lanes(spark: SparkSession, d: str) -> tuple[DataFrame, Da
 
 _STAGE2 = f"""with {ISO}, {SEG}, {REC}, {LONG}, ky as (select sequence_id, '-.-.-.' || case when status = 'ORPHAN' then '?' else coalesce(cluster_id, '-') end || '.-.-.-.-' as key from long where segment = 'HA'),
 kk as (select * from ky where key in (select key from ky group by 1 having count(*) > 3)), r as (select key, segment, sequence_id, h from rec join kk using (sequence_id)),
-bm as (select * from r qualify row_number() over (partition by key, segment order by md5(sequence_id), sequence_id) <= 32),
-dd as (select a.key, a.segment, a.sequence_id as a, b.sequence_id as b, 1 - {equal_sql('a.h', 'b.h')} / 64 as d from bm a join bm b on a.key = b.key and a.segment = b.segment and a.sequence_id < b.sequence_id),
+bn as (select *, row_number() over (partition by key, segment order by md5(sequence_id), sequence_id) - 1 as rk from r), bm as (select *, count(*) over (partition by key, segment) as m from bn where rk <= 500),
+dd as (select a.key, a.segment, a.sequence_id as a, b.sequence_id as b, 1 - {equal_sql('a.h', 'b.h')} / 64 as d from bm a join bm b on a.key = b.key and a.segment = b.segment
+  where case when a.m * (a.m - 1) / 2 <= 500 then a.rk < b.rk else ((b.rk - a.rk + a.m) % a.m - 1) * a.m + a.rk < 500 and a.rk <> b.rk end),
 mates as (select a.key, a.segment, a.sequence_id, count(*) as n, sum(1 - {equal_sql('a.h', 'b.h')} / 64) as s from r a join r b on a.key = b.key and a.segment = b.segment and a.sequence_id <> b.sequence_id group by 1, 2, 3),
 own as (select key, segment, s as sequence_id, count(*) as bn, sum(d) as bs, sum(d * d) as bq from (select key, segment, unnest([a, b]) as s, d from dd) group by 1, 2, 3),
 g as (select key, segment, count(*) as gn, sum(d) as gs, sum(d * d) as gq from dd group by 1, 2), b as (select segment, sum(gn) as tn, sum(gs) as ts, sum(gq) as tq from g group by 1),
@@ -509,7 +509,7 @@ def stage2_zscores(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def stage2_events(spark: SparkSession, d: str) -> DataFrame:
-    return R.stage2_events(constellations_and_lanes(spark, d)[0], all_records(spark, d).drop("subtype"), C.ReassortmentConfig(min_confidence=0.3))
+    return R.stage2_events(constellations_and_lanes(spark, d)[0], all_records(spark, d).drop("subtype"), C.Screen(least_confidence=0.3))
 
 
 @query()
@@ -521,7 +521,7 @@ def reassortment_events(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def permutation_validation(spark: SparkSession, d: str) -> DataFrame:
     long = stage(long_profiles(spark, d), "long")
-    cfg = C.ReassortmentConfig(min_confidence=0.5)
+    cfg = C.Screen(least_confidence=0.5)
     return R.validate_events(stage(R.stage1_events(long, cfg), "events"), long, cfg, 1000)
 
 

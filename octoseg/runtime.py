@@ -89,9 +89,15 @@ def share(spark: SparkSession, value: object):
     return v
 
 
+def hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path on any file system Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    fs, p = hadoop(spark, path)
+    fs.delete(p.getParent(), True)
 
 
 def drop_staged() -> None:

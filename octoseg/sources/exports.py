@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from octoseg.runtime import hadoop
+
 
 def genotypes_tsv(p: DataFrame) -> DataFrame:
     """Eight text columns of profiles with allele_string and constellation_id."""
@@ -35,6 +37,7 @@ def events_tsv(e: DataFrame) -> DataFrame:
 
 
 def validation_tsv(v: DataFrame, n: int) -> DataFrame:
+    """Rows of validate_events(); an event is concordant if all its discordant segments are significant."""
     ok = v.groupBy("sequence_id").agg(F.every("significant").alias("concordant"))
     return v.join(ok, "sequence_id").select("sequence_id", F.when(F.col("concordant"), "True").otherwise("False").alias("concordant"), F.lit(str(n)).alias("n_permutations"), "segment", F.format_string("%.6f", F.col("p")).alias("empirical_p"), F.format_string("%.6f", F.col("observed")).alias("combined_p"))
 
@@ -44,15 +47,26 @@ def write_tsv(df: DataFrame, path: str, one_file: bool = False) -> None:
     (df.coalesce(1) if one_file else df).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("quote", "").csv(path)
 
 
-def write_summary(summary: dict, path: str) -> None:
-    """A dictionary as JSON; what JSON doesn't know becomes text."""
-    with open(path, "w") as f:
-        json.dump(summary, f, indent=2, default=str, sort_keys=True)
+def write_summary(spark: SparkSession, summary: dict, path: str) -> None:
+    """A dictionary as JSON on any file system; what JSON doesn't know becomes text."""
+    fs, p = hadoop(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(summary, indent=2, default=str, sort_keys=True).encode()))
+    out.close()
 
 
-def summary_text(summary: dict) -> str:
-    """The summary as lines for a console."""
-    lines = []
-    for k, v in summary.items():
-        lines += [f"{k}:", *(f"  {a}: {b}" for a, b in v.items())] if isinstance(v, dict) else [f"{k}: {v}"]
+def run_report(s: dict) -> str:
+    """The console report of a run: what came in, clusters and orphans, events by stage."""
+    lines = [f"octoseg {s['mode']} run", f"  isolates    {s['total_isolates']} ({s['complete_genomes']} complete)"]
+    lines += [f"    {k:<12}{v}" for k, v in sorted(s["by_subtype"].items())]
+    lines += [f"  genotypes   {s['unique_genotypes']} different", f"  clusters    {s['total_clusters']}", f"  orphans     {s['total_orphans']}"]
+    lines.append(f"  events      {s['reassortment_events']} (stage 0: {s['reassortment_stage0']}, 1: {s['reassortment_stage1']}, 2: {s['reassortment_stage2']})")
     return "\n".join(lines)
+
+
+def repair_report(segment: str, subtype: str, allele: str, r: dict) -> str:
+    """The console report of a repair, or of a dry one."""
+    head = f"repair of {allele} on {segment} of {subtype}: {r['affected']} segments carry it"
+    if r["new_allele"] is None:
+        return f"{head}; nothing was changed"
+    return f"{head}\n  new name    {r['new_allele']}\n  retired     {r['retired_constellations']} constellations"

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from octoseg.runtime import hadoop
+
 
 def parse_text(text: str | Column) -> Column:
     """The records of a text: an array of (pos, header, seq).
@@ -25,15 +27,21 @@ def parse_fasta_string(df: DataFrame, text: str, *keep: str) -> DataFrame:
 
 
 def parse_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(file, pos, header, seq) of the files of a path; a missing path raises. Files are read side by side, each whole."""
-    df = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return parse_fasta_string(df, "value", "file")
-
-
-def parse_large_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """The same for files too large for one row: split at record starts while reading, so one file feeds many tasks.
+    """(file, pos, header, seq) of the files of a path; a missing path raises.
 
-    pos orders the records of a file within its splits. Headers must begin at the start of a line.
+    Files are split where a line begins with >, so one large file feeds many tasks and a row is one record, or the
+    records from one such line to the next if headers are indented. Text before a file's first header is left out. pos
+    orders the records of a file: the split's first byte and the record's number within it, as text of fixed width.
     """
-    df = spark.read.option("lineSep", "\n>").text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos"), F.concat(F.lit(">"), F.regexp_replace("value", r"^\s*>", "")).alias("value"), F.col("value").alias("raw"))
-    return df.where(F.trim("raw") != "").select("file", "pos", F.explode(parse_text("value")).alias("r")).select("file", "pos", "r.header", "r.seq")
+    fs, p = hadoop(spark, path)
+    if fs.globStatus(p) is None or not len(fs.globStatus(p)):
+        raise FileNotFoundError(path)
+    raw = spark.read.option("lineSep", "\n>").text(path)
+    raw = raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"), "value")
+    # the first piece of a file is whole; all others lost their > to the split
+    first = raw.where("at = 0").groupBy("file").agg(F.min("id").alias("first"))
+    j = raw.join(F.broadcast(first), "file", "left")  # a row a file, two numbers each
+    text = F.when(F.col("id") == F.col("first"), F.col("value")).otherwise(F.concat(F.lit(">"), "value"))
+    j = j.select("file", "at", "id", F.explode(parse_text(text)).alias("r"))
+    pos = F.concat(*(F.lpad(F.hex(c), 16, "0") for c in (F.col("at"), F.col("id"), F.col("r.pos").cast("long"))))
+    return j.select("file", pos.alias("pos"), "r.header", "r.seq")

@@ -2,7 +2,9 @@
 
 import random
 
-from octoseg.config import SEGMENT_LENGTHS, SEGMENTS
+from octoseg.config import SEGMENTS, TABLE
+
+SEGMENT_LENGTHS = {row[0]: row[4:] for row in TABLE}
 
 
 def genomes(per_lineage: int = 6, rate: float = 0.0002, apart: float = 0.12, seed: int = 100, names: str = "iso") -> list[tuple[str, str]]:

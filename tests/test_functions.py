@@ -1,6 +1,7 @@
 import math
 import random
 from fractions import Fraction
+from statistics import NormalDist
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from octoseg.operators import clustering as K
 from octoseg.operators import isolates as I
 from octoseg.operators import minhash as M
 from octoseg.operators import reassortment as R
-from octoseg.sources.fasta import parse_fasta, parse_fasta_string, parse_large_fasta
+from octoseg.sources.fasta import parse_fasta, parse_fasta_string
 
 HEADERS = [
     ("isoA00_segment_4_H3N2_2024-01-05", "HA", "H3N2", "2024-01-05", "isoA00_H3N2_2024-01-05"),
@@ -36,8 +37,8 @@ def test_subtype_numbers(spark):
     assert [tuple(r) for r in df.select(Q.subtype_number("s"), Q.subtype_short("s")).collect()] == [(1, "H1N1"), (3, "H3N2"), (5, "H5N6")]
     with pytest.raises(Exception, match="no number for subtype"):
         spark.createDataFrame([("x",)], "s string").select(Q.subtype_number("s")).collect()
-    a = spark.createDataFrame([("HA.3.0001",), ("odd",), (None,)], "a string").select(Q.allele_subtype_number("a")).collect()
-    assert [r[0] for r in a] == [3, None, None]
+    a = spark.createDataFrame([("HA.3.0001",), ("odd",), (None,), ("ha.3.1",), ("HA.3.x",), (".3.1",), ("PB2.12.0004",), ("HA.3.1.2",)], "a string").select(Q.allele_subtype_number("a")).collect()
+    assert [r[0] for r in a] == [3, None, None, None, None, None, 12, None]
 
 
 def test_sequences(spark):
@@ -55,13 +56,27 @@ def test_fasta(spark, tmp_path):
     df = spark.createDataFrame([(1, text), (2, ""), (3, None), (4, "no header")], "i int, t string")
     assert [tuple(r)[1:] for r in parse_fasta_string(df, "t", "i").orderBy("i", "pos").collect()] == want
     (tmp_path / "a.fa").write_text(text)
-    assert [tuple(r)[1:] for r in parse_fasta(spark, str(tmp_path)).orderBy("pos").collect()] == want
-    big = "".join(f">h{i}\nAC\nGT\n" for i in range(50))
+    plain = lambda path: [(r["header"], r["seq"]) for r in parse_fasta(spark, str(path)).orderBy("file", "pos").collect()]
+    assert plain(tmp_path) == [x[1:] for x in want]
+    # a file of many splits: pieces begin at headers, whatever the size of a split, and blanks before a header don't count
+    big = "no record\n" + "".join(f"{' ' * (i % 3)}>h{i}\nAC\nGT\n" for i in range(400))
     (tmp_path / "b.fa").write_text(big)
-    got = parse_large_fasta(spark, str(tmp_path / "b.fa")).select("header", "seq").collect()
-    assert sorted(tuple(r) for r in got) == sorted((f"h{i}", "ACGT") for i in range(50))
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        parse_fasta(spark, str(tmp_path / "none")).count()
+    for size in ("100", "3000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            assert plain(tmp_path / "b.fa") == [(f"h{i}", "ACGT") for i in range(400)]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    (tmp_path / "c.fa").write_text("")
+    assert plain(tmp_path / "c.fa") == []
+    with pytest.raises(FileNotFoundError):
+        parse_fasta(spark, str(tmp_path / "none"))
+    iso, seg = I.process_file(spark, str(tmp_path / "a.fa"))
+    assert iso.count() == seg.count() == 0
+    iso, seg = I.process_string(spark.createDataFrame([(1, ">x|HA|H3N2\nAC\n>x|NA|H3N2\nGG")], "i int, t string"), "t", "i")
+    assert [r["segments_found"] for r in iso.collect()] == [2] and {r["seq"] for r in seg.collect()} == {"AC", "GG"}
 
 
 def test_keep_first(spark):
@@ -89,7 +104,7 @@ def test_kmers_and_signatures(spark):
     assert all(c[i] == (len(want.get(i, [])), len(set(want.get(i, [])))) for i in c)
     h1, h2 = M.murmur3_x64_128(np.frombuffer(M.GOLDEN[0], np.uint8)[None, :], 42)
     assert (int(h1[0]), int(h2[0])) == M.GOLDEN[2:]
-    cfg = C.KmerConfig(num_hashes=16)
+    cfg = C.Sketch(lanes=16)
     s = M.from_bytes(M.signature_bytes(seqs[4], 21, cfg))
     km = np.array([list(k.encode()) for k in sorted(set(want[4]))], dtype=np.uint8)
     a, b = M.murmur3_x64_128(km, 42)
@@ -98,19 +113,19 @@ def test_kmers_and_signatures(spark):
 
 
 def test_signature_terms():
-    x, y = M.signature_bytes("ACGT" * 200, 21, C.KmerConfig()), M.signature_bytes("ACGT" * 200, 21, C.KmerConfig(hash_seed=7))
+    x, y = M.signature_bytes("ACGT" * 200, 21, C.Sketch()), M.signature_bytes("ACGT" * 200, 21, C.Sketch(seed=7))
     p = M.from_bytes(x)
     assert M.jaccard(x, x) == 1.0 and (p["kmer_count"], p["unique_kmer_count"]) == (780, 2)
     assert M.to_bytes(p["num_hashes"], p["seed"], 780, 2, p["lanes"]) == x
-    for other in (y, M.signature_bytes("ACGT" * 200, 21, C.KmerConfig(num_hashes=256))):
+    for other in (y, M.signature_bytes("ACGT" * 200, 21, C.Sketch(lanes=256))):
         with pytest.raises(ValueError):
             M.jaccard(x, other)
-    e = M.signature_bytes("", 21, C.KmerConfig())
+    e = M.signature_bytes("", 21, C.Sketch())
     assert M.from_bytes(e)["unique_kmer_count"] == 0 and M.jaccard(e, e) == 1.0
 
 
 def test_union_of_signatures(spark):
-    cfg, rng = C.KmerConfig(num_hashes=8), random.Random(5)
+    cfg, rng = C.Sketch(lanes=8), random.Random(5)
     a, b = ("".join(rng.choice("ACGT") for _ in range(100)) for _ in range(2))
     sig = [M.signature_bytes(s, 21, cfg) for s in (a, b, a + "N" + b)]
     df = spark.createDataFrame([("g", bytearray(sig[0])), ("g", bytearray(sig[1])), ("g", None)], "g string, kmer_signature binary")
@@ -167,7 +182,7 @@ def test_edges_components_and_clusters(spark):
     assert len(brute) == 45 * 44 // 2
     dist = np.array([[1 - eq(a[3], b[3]) for b in rows] for a in rows])
     for method in ("average", "complete", "single", "ward"):
-        cfg = C.ClusteringConfig(segment_thresholds={"HA": {"same": 0.75}}, subtype_adjustments={}, dev_mode=True, linkage_method=method)
+        cfg = C.Grouping(same={"HA": 0.75}, shift={}, least=2, linkage=method)
         _, a = K.cluster_signatures(df, cfg)
         got = {}
         for r in a.where("cluster_id is not null").collect():
@@ -224,7 +239,7 @@ def test_many_copies_and_classes(spark, method):
     near = [("H3N2", "HA", f"d{i}", [f"{i + 100:016X}", *lanes[1:]]) for i in range(3)]
     far = [("H3N2", "HA", f"e{i}", [f"{j + 500:016X}" for j in range(16)]) for i in range(2)] + [("H3N2", "HA", "f", [f"{j + 900:016X}" for j in range(16)])]
     df = df.union(spark.createDataFrame(near + far, df.schema))
-    cfg = C.ClusteringConfig(segment_thresholds={"HA": {"same": 0.9}}, subtype_adjustments={}, dev_mode=True, linkage_method=method)
+    cfg = C.Grouping(same={"HA": 0.9}, shift={}, least=2, linkage=method)
     c, a = K.cluster_signatures(df, cfg)
     got = {r["cluster_id"]: (r["medoid"], r["size"]) for r in c.collect()}
     assert a.count() == n + 6 and [r[0] for r in a.where("is_orphan").select("sequence_id").collect()] == ["f"]
@@ -259,7 +274,10 @@ def test_clustering_terms(spark):
         K.validate_inputs(bad)
     with pytest.raises(K.DegenerateInputError):
         K.cluster_signatures(spark.createDataFrame([], "subtype string, segment string, sequence_id string, lanes array<string>"))
-    assert C.ClusteringConfig().get_threshold("HA", "H3N2") == pytest.approx(0.90)
+    t = K.with_threshold(spark.createDataFrame([("HA", "H3N2"), ("HA", "H1N1pdm09"), ("X", "H3N2"), ("M", None)], "segment string, subtype string"))
+    assert {(r[0], r[1]): round(r[2], 9) for r in t.collect()} == {("HA", "H3N2"): 0.9, ("HA", "H1N1pdm09"): 0.92, ("X", "H3N2"): 0.93, ("M", None): 0.96}
+    t = K.with_threshold(spark.createDataFrame([("HA", "H1N1pdm09")], "segment string, subtype string"), level="related")
+    assert t.first()["threshold"] == pytest.approx(0.8)
 
 
 def test_statistics(spark):
@@ -289,6 +307,90 @@ def test_statistics(spark):
     assert s["c"] == pytest.approx(0.3) and s["a"] < 1e-40
 
 
+def test_fisher_of_large_tables(spark):
+    """Terms that matter only: exact for tables of any size, by whole-number sums where those can be made."""
+    rng = random.Random(8)
+    rows = [(0, 40, 60, 900), (7, 400, 300, 12_000), (180, 2000, 2100, 30_000), (5000, 100, 100, 9), (30, 10_000_000, 40, 900_000_000), (2_000_000, 10_000_000, 170_000_000, 900_000_000)]
+    rows += [tuple(rng.randrange(0, 60) for _ in range(4)) for _ in range(40)]
+    p = [r[0] for r in spark.createDataFrame(rows, "a long, b long, c long, d long").select(T.fisher_less(*(F.col(c) for c in "abcd"))).collect()]
+    q = T.fisher_less_array(*(np.array(x) for x in zip(*((a, a + b, a + c, a + b + c + d) for a, b, c, d in rows))))
+    for (a, b, c, d), x, y in zip(rows, p, q):
+        if a + b + c + d < 50_000:
+            n, r, k = a + b + c + d, a + b, a + c
+            want = sum(Fraction(math.comb(k, i) * math.comb(n - k, r - i), math.comb(n, r)) for i in range(max(0, r + k - n), a + 1)) if 0 < r < n and 0 < k < n else 1
+            assert x == pytest.approx(float(want), rel=1e-8, abs=1e-300)
+        assert y == pytest.approx(x, rel=1e-6, abs=1e-300)
+
+
+def test_normal_law(spark):
+    ps = [1e-15, 1e-9, 0.001, 0.07, 0.2, 0.5, 0.8, 0.9999, 1.0, 0.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in ps], "p double").select(T.normal_quantile(F.col("p"))).collect()]
+    want = [NormalDist().inv_cdf(min(max(x, 1e-15), 1 - 1e-15)) for x in ps]
+    assert got == pytest.approx(want, abs=1e-12) and T.quantile_array(np.array(ps)) == pytest.approx(want, abs=1e-12)
+    zs = [-38.0, -20.0, -8.0, -3.1, -0.5, 0.0, 0.7, 6.0, 40.0]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in zs], "z double").select(T.normal_cdf(F.col("z"))).collect()]
+    want = [0.5 * math.erfc(-x / math.sqrt(2)) for x in zs]
+    assert got == pytest.approx(want, rel=1e-7, abs=1e-290) and T.cdf_array(np.array(zs)) == pytest.approx(want, rel=1e-7, abs=1e-290)
+
+
+def permuted(profiles, sid, seg, n, seed):
+    """Combined p-values of an isolate's segment, its column shuffled over all profiles, the plain way."""
+    rng, ids, i = np.random.default_rng(seed), list(profiles), C.SEGMENTS.index(seg)
+    out, me = [], ids.index(sid)
+    for _ in range(n):
+        col = rng.permutation(np.array([profiles[x][i] or "" for x in ids]))
+        if not col[me]:
+            out.append(1.0)
+            continue
+        ps = []
+        for j in range(8):
+            c = profiles[sid][j]
+            if j == i or c is None:
+                continue
+            rows = [(col[r], profiles[x][j]) for r, x in enumerate(ids) if col[r] and profiles[x][j] is not None]
+            ab, a, b = sum(r == (col[me], c) for r in rows), sum(r[0] == col[me] for r in rows), sum(r[1] == c for r in rows)
+            ps.append(float(T.fisher_less_array(np.array([ab]), np.array([a]), np.array([b]), np.array([len(rows)]))[0]))
+        t = np.mean([math.tan((0.5 - min(max(p, 1e-300), 1 - 1e-15)) * math.pi) for p in ps])
+        out.append(0.5 - math.atan(t) / math.pi)
+    return np.array(out)
+
+
+def test_permutation_validation(spark):
+    """Against plain permutations of the column: the same law of the null, the population of all analysable profiles,
+    and the level shared by all scored segments."""
+    rng = random.Random(3)
+    profiles = {}
+    for i in range(60):
+        lineage = i % 2
+        profiles[f"p{i:02d}"] = [None if rng.random() < 0.12 else f"C{lineage * 2 + (rng.random() < 0.2)}" for _ in range(8)]
+    profiles["p00"] = ["C2", *(["C0"] * 7)]
+    profiles["p01"] = ["C2", "C2", "C0", "C0", None, "C2", "C2", None]
+    profiles["few"] = ["C0", None, None, None, "C1", None, None, "C0"]
+    rows = [(k, j, s, "ASSIGNED" if v else "MISSING", v) for k, p in profiles.items() for j, (s, v) in enumerate(zip(C.SEGMENTS, p))]
+    long = spark.createDataFrame(rows, "sequence_id string, ord int, segment string, status string, cluster_id string")
+    events = spark.createDataFrame([("p00", ["PB2"]), ("p01", ["PA", "HA"]), ("few", ["PB2"])], "sequence_id string, discordant_segments array<string>")
+    full = {k: p for k, p in profiles.items() if sum(x is not None for x in p) >= 6}
+    got = {(r["sequence_id"], r["segment"]): r for r in R.validate_events(events, long, n=4000).collect()}
+    assert got.keys() == {("p00", "PB2"), ("p01", "PA"), ("p01", "HA")}
+    for (sid, seg), r in got.items():
+        null = permuted(full, sid, seg, 1500, 5)
+        want = ((null <= r["observed"] * (1 + 1e-9)).sum() + 1) / 1501
+        assert abs(r["p"] - want) < 4 * math.sqrt(max(want * (1 - want), 1e-3) * (1 / 1500 + 1 / 4000))
+        tested = sum(x is not None for x in full[sid])
+        assert r["n_tested"] == tested and r["significant"] == (r["p"] < 0.05 / tested)
+    assert R.validate_events(events.limit(0), long).count() == 0
+
+
+def test_draws_have_their_law():
+    rng = np.random.default_rng(2)
+    colors = np.broadcast_to(np.array([5, 0, 30, 12]), (20_000, 4))
+    x = R.draw(rng, colors, np.full(20_000, 9))
+    assert (x.sum(axis=1) == 9).all() and (x >= 0).all() and (x <= colors).all()
+    share = colors[0] / colors[0].sum()
+    assert np.abs(x.mean(axis=0) - 9 * share).max() < 0.05
+    assert np.abs(x.var(axis=0) - 9 * share * (1 - share) * (47 - 9) / 46).max() < 0.08
+
+
 def test_coherence_and_types(spark):
     df = spark.createDataFrame([(["PB1"],), (["PB2", "PB1", "PA"],), (["HA", "NA", "M"],), (["HA", "PB1"],), (["HA", "NA"],)], "s array<string>")
     got = [(round(r[0], 6), r[1]) for r in df.select(R.coherence(F.col("s")), R.event_type(F.col("s"))).collect()]

@@ -10,11 +10,8 @@ from octoseg.sources.store import SignatureFingerprintMismatch, Store
 from octoseg.streaming.ingest import ingest_stream
 
 
-def small() -> C.Config:
-    cfg = C.Config()
-    cfg.kmer.num_hashes = 64
-    cfg.clustering = C.ClusteringConfig(dev_mode=True, segment_thresholds={s: {"same": 0.8} for s in C.SEGMENTS})
-    return cfg
+def small(lanes: int = 64) -> C.Settings:
+    return C.Settings(C.Sketch(lanes=lanes), C.Grouping(least=2, same={s: 0.8 for s in C.SEGMENTS}))
 
 
 def frame(spark, records):
@@ -56,6 +53,11 @@ def test_incremental_then_repair(spark, batch):
     assert out["profiles"].select("constellation_id").distinct().count() == 2
     assert p.run_incremental(frame(spark, more), detect=False)["summary"]["total_isolates"] == 0
     assert p.store.rows("clusters").where("is_active = 1").agg({"member_count": "sum"}).first()[0] == 96
+    # counts and last_seen of names that were known before are those of the last run
+    seen = p.store.rows("allele_registry").where("segment_name = 'HA'").select("member_count", "first_seen", "last_seen").collect()
+    assert all(r["member_count"] == 2 and r["last_seen"] > r["first_seen"] for r in seen)
+    assert all(r["member_count"] == 2 for r in p.store.rows("constellation_registry").select("member_count").collect())
+    assert p.store.rows("clustering_runs").select("mode").distinct().count() == 2
     name = p.store.rows("segment_kmers").where("segment_name = 'HA'").orderBy("sequence_id").first()["allele_id"]
     dry = p.repair_allele_subtype("HA", "H3N2", name, "v1", True)
     assert dry == {"affected": 6, "new_allele": None}
@@ -65,15 +67,31 @@ def test_incremental_then_repair(spark, batch):
     assert p.store.rows("genotypes").where(f"allele_profile like '%{done['new_allele']}%'").count() == 6
 
 
+def test_a_named_version_is_the_one_used(spark, batch):
+    """Clusters of another version, newer or not, take no part in a run that names one."""
+    p, _ = batch
+    t = p.store.rows("clusters").where("version = 'v1'")
+    from pyspark.sql import functions as F
+
+    p.store.put("clusters", t.withColumns({"version": F.lit("v9"), "created_at": F.lit("9999"), "cluster_id": F.concat(F.lit("X"), "cluster_id"), "member_count": F.lit(0)}))
+    count = lambda v: p.store.rows("clusters").where(F.col("version") == v).agg(F.sum("member_count")).first()[0]
+    before = count("v1")
+    out = p.run_incremental(frame(spark, genomes(1, names="ver")), version="v1", detect=False)
+    assert {r[0][0] for r in out["assignments"].select("cluster_id").distinct().collect()} == {"C"}
+    assert count("v1") == before + 16 and count("v9") == 0
+    out = p.run_incremental(frame(spark, genomes(1, names="new9")), detect=False)
+    assert {r[0][0] for r in out["assignments"].select("cluster_id").distinct().collect()} == {"X"} and count("v9") == 16
+    p.store.update("clusters", p.store.rows("clusters").where("version = 'v9'").withColumn("is_active", F.lit(0)), ["is_active"])
+
+
 def test_other_parameters_are_refused(spark, batch):
-    cfg = small()
-    cfg.kmer.num_hashes = 32
+    cfg = small(32)
     with pytest.raises(SignatureFingerprintMismatch, match="num_hashes: 64 -> 32"):
         Pipeline(batch[0].store, cfg).initialize()
     s = batch[0].store
     Pipeline(s, cfg).initialize(True)
     Pipeline(s, small()).initialize(True)
-    assert json.loads(s.fingerprint())["num_hashes"] == 64
+    assert s.sketch() == C.Sketch(lanes=64)
 
 
 def test_stream_adds_each_isolate_once(spark, batch, tmp_path):
