@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from octoseg import config as C
 from octoseg.functions import sequence as Q
-from octoseg.operators.clustering import with_threshold
+from octoseg.operators.clustering import PARAMETERS, with_threshold
 from octoseg.runtime import broadcast_if_small, stage
 
 def best_match(queries: DataFrame, centroids: DataFrame, key: str = "query_id", same_subtype: bool = True, limit_bytes: int = 64 << 20) -> DataFrame:
@@ -19,13 +19,16 @@ def best_match(queries: DataFrame, centroids: DataFrame, key: str = "query_id",
     ties go to the smaller name; same_subtype=False looks at the other subtype numbers only. Lanes of another length
     are no match. Centroids are broadcast behind a check of their size.
     """
-    c = centroids.select(F.col("segment").alias("_s"), F.col("subtype_num").alias("_n"), "allele_name", F.col("lanes").alias("_l"))
+    own = [x for x in PARAMETERS if x in queries.columns and x in centroids.columns]
+    c = centroids.select(F.col("segment").alias("_s"), F.col("subtype_num").alias("_n"), "allele_name", F.col("lanes").alias("_l"), *(F.col(x).alias(f"_{x}") for x in own))
     on = (F.col("segment") == F.col("_s")) & ((F.col("subtype_num") == F.col("_n")) if same_subtype else (F.col("subtype_num") != F.col("_n")))
+    for x in own:
+        on = on & (F.col(x) == F.col(f"_{x}"))
     j = queries.join(broadcast_if_small(c, limit_bytes), on).where(F.size("_l") == F.size("lanes"))
     return _nearest_of(j, key)
 
 
-ORDER = ["late", "first_id", "subtype", "cluster_id"]
+ORDER = ["late", "first_id", "subtype", "cluster_id", "_v"]
 
 
 def assign_alleles(founders: DataFrame, registry: DataFrame, grouping: C.Grouping | None = None) -> tuple[DataFrame, DataFrame]:
@@ -43,9 +46,8 @@ def assign_alleles(founders: DataFrame, registry: DataFrame, grouping: C.Groupin
     number's nearest.
     """
     f = founders.select("segment", "subtype", "cluster_version", "cluster_id", "first_id", "late", Q.subtype_number("subtype").alias("subtype_num"), F.coalesce("lanes", F.array().cast("array<string>")).alias("lanes"))
-    f = with_threshold(f, grouping).withColumn("ord", F.struct(*ORDER))
+    f = with_threshold(f.withColumn("_v", F.coalesce("cluster_version", F.lit(""))), grouping).withColumn("ord", F.struct(*ORDER))
     key = ["segment", "subtype_num", "_v", "cluster_id"]
-    f = f.withColumn("_v", F.coalesce("cluster_version", F.lit("")))
     known = registry.groupBy("segment", "subtype_num", F.coalesce("cluster_version", F.lit("")).alias("_v"), F.col("internal_cluster_id").alias("cluster_id")).agg(F.max_by("allele_name", "allele_num").alias("known"))
     lead = f.groupBy(*key).agg(F.min("ord").alias("lead"))
     f = f.join(known, key, "left").join(lead, key).withColumn("qid", F.monotonically_increasing_id())
@@ -111,7 +113,7 @@ def _minted(loose: DataFrame, top: DataFrame) -> DataFrame:
         held: dict[int, dict[int, list[np.ndarray]]] = {}
         last: dict[int, int] = {}
         out = []
-        for x in pdf.sort_values(ORDER).itertuples():
+        for x in pdf.rename(columns={"_v": "version"}).sort_values([*ORDER[:-1], "version"]).itertuples():
             n = int(x.subtype_num)
             if n not in last:
                 last[n] = 0 if pd.isna(x.top) else int(x.top)
