@@ -217,6 +217,7 @@ def sequence_validation(spark: SparkSession, d: str) -> DataFrame:
 
 
 _FASTA = f"""{HEAD}, rec as (select pos, header, seq, {_ID_SQL} as sequence_id from head), parts as (select *, row_number() over (partition by sequence_id order by pos) - 1 as place from rec)"""
+_TRIMMED = "regexp_replace(header, '^\\s+|\\s+$', '', 'g')"
 
 
 def fasta_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -228,14 +229,14 @@ def fasta_texts(spark: SparkSession, d: str) -> DataFrame:
     return h.groupBy("sequence_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", record.alias("r")))), lambda x: x["r"]), "").alias("text"))
 
 
-@query(f"{_FASTA} select sequence_id, place::int as pos, header, seq from parts")
+@query(f"{_FASTA} select sequence_id, place::int as pos, {_TRIMMED} as header, seq from parts")
 def fasta_strings(spark: SparkSession, d: str) -> DataFrame:
     """The records of each isolate's text."""
     t = fasta_texts(spark, d).withColumn("text", F.concat(F.lit("; something before the first header\n"), "text"))
     return F_.parse_fasta_string(t, "text", "sequence_id")
 
 
-@query(f"{HEAD} select header, md5(seq) as digest, count(*) as n from head group by 1, 2")
+@query(f"{HEAD} select {_TRIMMED} as header, md5(seq) as digest, count(*) as n from head group by 1, 2")
 def fasta_files(spark: SparkSession, d: str) -> DataFrame:
     """The records of files that hold all texts."""
     path = scratch(spark, "fasta")
@@ -379,8 +380,10 @@ def hash_selftest(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([(M.GOLDEN[0].decode(), M.GOLDEN[1])], "kmer string, seed int").mapInPandas(run, "kmer string, seed int, h1 string, h2 string")
 
 
-@query(f"""{WITH}, cls as (select subtype, segment, n, seed, h[33:] as lanes, any_value(h) as h, min(sequence_id) as rep, count(*) as copies from rec group by 1, 2, 3, 4, 5)
-select a.subtype, a.segment, a.rep as a, b.rep as b, a.copies as copies_a, b.copies as copies_b, round(1 - {equal_sql('a', 'b')} / a.n, 6) as dist from cls a join cls b on a.subtype = b.subtype and a.segment = b.segment and {LIKE_SQL} and a.rep < b.rep where {equal_sql('a', 'b')} >= 0.9 * a.n
+@query(f"""{WITH}, cls as (select subtype, segment, n, seed, h[33:] as lanes, any_value(h) as h, min(sequence_id) as rep, count(*) as copies from rec group by 1, 2, 3, 4, 5),
+cell as (select subtype, segment, n, seed, rep, copies, i, h[33+16*i:48+16*i] as v from cls cross join unnest(range(n)) as u(i)),
+eqc as (select a.subtype, a.segment, a.n, a.rep as a, b.rep as b, any_value(a.copies) as copies_a, any_value(b.copies) as copies_b, count(*) as m from cell a join cell b on a.subtype = b.subtype and a.segment = b.segment and {LIKE_SQL} and a.i = b.i and a.v = b.v and a.rep < b.rep group by 1, 2, 3, 4, 5)
+select subtype, segment, a, b, copies_a, copies_b, round(1 - m / n, 6) as dist from eqc where m >= 0.9 * n
 union all select subtype, segment, rep, rep, copies, copies, 0.0 from cls where copies > 1""")
 def similar_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of different signatures of a subtype, segment and parameters with an agreement of 0.9 or more, each by its
@@ -422,15 +425,17 @@ def assign_to_existing(spark: SparkSession, d: str) -> DataFrame:
     return K.assign_to_existing(records(spark, d), reference(spark, d), LOOSE).withColumn("distance", F.round("distance", 6))
 
 
-#: Classes of equal signatures with their copies, the numbers of differing lanes of classes within the threshold of each
-#: other, and the components of those: only within one can anything merge.
+#: Classes of equal signatures with their copies, the numbers of equal lanes of classes that have any, and the components
+#: of those within the threshold of each other: only within one can anything merge.
 _T_SQL = "case segment " + " ".join(f"when '{r[0]}' then {r[2]}" for r in C.TABLE) + " end + case subtype when 'H3N2' then -0.02 else 0 end"
 _CLASSES = f"""{WITH.replace('with ', 'with recursive ', 1)}, cls as (select subtype, segment, n, seed, h[33:] as lanes, any_value(h) as h, min(sequence_id) as x, count(*) as w, {_T_SQL} as t from rec group by 1, 2, 3, 4, 5),
-dif as materialized (select a.subtype, a.segment, a.n, a.seed, a.x as a, b.x as b, a.w * b.w as ww, a.n - {equal_sql('a', 'b')} as d, a.t from cls a join cls b on a.subtype = b.subtype and a.segment = b.segment and {LIKE_SQL} and a.x <> b.x),
-hop as (select subtype, segment, a as x, b as y from dif where n - d >= t * n - 1e-9), reach as (select subtype, segment, x, x as y from cls union select r.subtype, r.segment, r.x, h.y from reach r join hop h on h.subtype = r.subtype and h.segment = r.segment and h.x = r.y),
+cell_ as (select subtype, segment, n, seed, x, w, t, i, h[33+16*i:48+16*i] as v from cls cross join unnest(range(n)) as u(i)),
+eqc as materialized (select a.subtype, a.segment, a.n, a.seed, a.x as a, b.x as b, any_value(a.t) as t, count(*) as m from cell_ a join cell_ b on a.subtype = b.subtype and a.segment = b.segment and {LIKE_SQL} and a.i = b.i and a.v = b.v and a.x <> b.x group by 1, 2, 3, 4, 5, 6),
+hop as (select subtype, segment, a as x, b as y from eqc where m >= t * n - 1e-9), reach as (select subtype, segment, x, x as y from cls union select r.subtype, r.segment, r.x, h.y from reach r join hop h on h.subtype = r.subtype and h.segment = r.segment and h.x = r.y),
 comp as materialized (select subtype, segment, x, min(y) as c, count(*) as k from reach group by 1, 2, 3)"""
 #: Average linkage, a merge in each group and step: lab holds the founder of each class that has a neighbour.
-_AVERAGE = f"""{_CLASSES}, link as materialized (select dif.*, p.c from dif join comp p on p.subtype = dif.subtype and p.segment = dif.segment and p.x = dif.a join comp q on q.subtype = dif.subtype and q.segment = dif.segment and q.x = dif.b where p.c = q.c),
+_AVERAGE = f"""{_CLASSES}, node as (select cls.*, comp.c from cls join comp using (subtype, segment, x) where k > 1),
+link as materialized (select p.subtype, p.segment, p.n, p.x as a, q.x as b, p.c, p.w * q.w as ww, p.n - coalesce(e.m, 0) as d, p.t from node p join node q on q.subtype = p.subtype and q.segment = p.segment and q.c = p.c and q.x <> p.x left join eqc e on e.subtype = p.subtype and e.segment = p.segment and e.a = p.x and e.b = q.x),
 lab as (select subtype, segment, x, x as f, 0 as step from comp where k > 1 union all
   select l.subtype, l.segment, l.x, coalesce(m.i, l.f), l.step + 1 from lab l
   join (select distinct subtype, segment, c from (select subtype, segment, c, i, j, s from (select p.subtype, p.segment, k.c, p.f as i, q.f as j, sum(k.ww * k.d)::double / sum(k.ww * k.n) as s, any_value(k.t) as t from link k
