@@ -3,30 +3,29 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from octoseg.llm import signatures as S
-from octoseg.llm.near_duplicates import candidate_pairs
 from octoseg.runtime import broadcast_if_small, discard, scratch, share, stage, table
 
 ENTRY = "cid long, segment_name string, h1 long, h2 long, n int, grp long, lanes binary, c0 long, c1 long, c2 long, c3 long, first_sub long"
 CODE = ["c0", "c1", "c2", "c3"]
+#: Directories that are read without asking which of them are needed.
+FEW = 64
 
 
 class SignatureIndex:
     """An index of accepted signatures in a folder: order/ (rarity of tokens), then signatures/ and postings/ by batch.
 
-    postings/ has (key, cid) in `buckets` directories by hash of the key, signatures/ the classes in blocks of cid.
+    postings/ has (key, cid) in `buckets` directories by hash of the key, signatures/ the classes in blocks of cid: a cid
+    is made of the batch's number (12 bits), the partition that wrote it (19) and the row (32), the first two its block.
     A probe reads the buckets its own keys fall into and the blocks of the classes it hits, so what it reads grows with
     the batch as long as that has fewer keys than there are buckets; create() makes one bucket for `per_bucket`
     postings. A batch becomes visible by its commit file, written last; a crashed append is overwritten by the next one.
     The order is fixed when the index is made: tokens that appear later count as rare, and any fixed order loses no pair.
     """
 
-    #: Classes of one directory of signatures/.
-    BLOCK = 1 << 13
-
     def __init__(self, spark: SparkSession, path: str, threshold: float = 0.85) -> None:
         self.spark, self.path, self.threshold = spark, path.rstrip("/"), threshold
         self._counts, self._buckets = None, None
@@ -88,55 +87,51 @@ class SignatureIndex:
     def postings(self, buckets: list[int] | None = None) -> DataFrame:
         return self._read("postings", "key long, cid long", "bucket", buckets)
 
-    def _next_cid(self) -> int:
-        """The first free cid, from the last block of each committed batch."""
-        top = [-1]
-        for n in self.batches():
-            blocks = [int(x.split("=")[1]) for x in self._names(f"signatures/{n}") if x.startswith("block=")]
-            if blocks:
-                top.append(self.spark.read.schema(ENTRY).parquet(f"{self.path}/signatures/{n}/block={max(blocks)}").agg(F.max("cid")).first()[0])
-        return max(top) + 1
-
     def _bucket(self, post: DataFrame) -> DataFrame:
         return post.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int"))
 
-    def append(self, entries: DataFrame, first: Column) -> None:
-        """Add classes() of a batch with their postings; first is the column of the smallest submission of a class."""
-        n, base = (self.batches() or [-1])[-1] + 1, self._next_cid()
-        # cids without gaps: a staged partition's rows are numbered from its number times 2^33
-        lot = F.shiftright("cid", 33).cast("int")
-        sizes = entries.groupBy(lot.alias("lot")).agg(F.count("*").alias("k"))
-        before = sizes.select("lot", (F.sum("k").over(Window.orderBy("lot")) - F.col("k") + F.lit(base)).alias("b"))  # one row a partition
+    def append(self, entries: DataFrame, first: Column) -> DataFrame:
+        """Add staged classes() of a batch with their postings; first is the column of the smallest submission of a class.
+
+        Returns the entries under the cids they have in the index.
+        """
+        n = (self.batches() or [-1])[-1] + 1
+        if n >= 1 << 12:
+            raise ValueError("the index is full: make it anew from its signatures")
         own = [f.split(" ")[0] for f in ENTRY.split(", ")][1:-1]
-        numbered = entries.withColumn("lot", lot).join(F.broadcast(before), "lot").select((F.col("b") + F.col("cid").bitwiseAND(F.lit((1 << 33) - 1))).cast("long").alias("cid"), *own, first.alias("first_sub"))
+        part = F.shiftright("cid", 33)
+        cid = F.when(part < 1 << 19, F.shiftleft(F.lit(n << 19) + part, 32) + F.col("cid").bitwiseAND(F.lit((1 << 32) - 1))).otherwise(F.raise_error(F.lit("too many partitions in a batch")))
+        numbered = entries.select(cid.cast("long").alias("cid"), *own, first.alias("first_sub"))
         post = self._bucket(S.postings(numbered, self.counts, self.threshold))
         post.repartition("bucket").sortWithinPartitions("bucket", "key").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/postings/{n}")
-        numbered.withColumn("block", F.floor(F.col("cid") / self.BLOCK).cast("int")).write.mode("overwrite").partitionBy("block").parquet(f"{self.path}/signatures/{n}")
+        numbered.withColumn("block", F.shiftright("cid", 32)).write.mode("overwrite").partitionBy("block").parquet(f"{self.path}/signatures/{n}")
         fs, p = self._path(f"commits/{n}")
         fs.create(p, False).close()
-
-    def probe(self, entries: DataFrame) -> DataFrame:
-        """(cid, found, n, equal, first_sub): each class of a batch with the indexed classes it agrees with in the threshold."""
-        probes = stage(self._bucket(S.postings(entries, self.counts, self.threshold)), "probes")
-        wanted = [r[0] for r in probes.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        return numbered
+
+    def probe(self, entries: DataFrame, *keep: str) -> DataFrame:
+        """(cid, found, n, equal, first_sub, *keep): each class of a batch with the indexed classes it agrees with in the
+        threshold, and columns of its own.
+
+        Where the index has more than FEW buckets or blocks, the ones to read are asked for first.
+        """
+        probes, wanted, blocks = self._bucket(S.postings(entries, self.counts, self.threshold)), None, None
+        if self.buckets > FEW:
+            probes = stage(probes, "probes")
+            wanted = [r[0] for r in probes.select("bucket").distinct().collect()]  # at most `buckets` numbers
         old = self.postings(wanted).withColumnRenamed("cid", "found")
-        hits = stage(old.join(broadcast_if_small(probes.drop("bucket"), 64 << 20), "key").select("cid", "found").distinct(), "hits")
-        blocks = [r[0] for r in hits.select(F.floor(F.col("found") / self.BLOCK).cast("int").alias("b")).distinct().limit(1 << 16).collect()]
-        right = self.signatures(blocks if len(blocks) < 1 << 16 else None)
-        return _verified(hits, entries, right, self.threshold, "first_sub")
-
-    def within(self, entries: DataFrame) -> DataFrame:
-        """(cid, found, n, equal), cid < found: pairs inside a batch."""
-        return _verified(candidate_pairs(S.postings(entries, self.counts, self.threshold)).toDF("cid", "found"), entries, entries, self.threshold)
-
-
-def _verified(hits: DataFrame, left: DataFrame, right: DataFrame, threshold: float, *keep: str) -> DataFrame:
-    a = left.select("cid", "n", *CODE)
-    b = right.select(F.col("cid").alias("found"), F.col("n").alias("nb"), *(F.col(c).alias(f"{c}b") for c in CODE), *keep)
-    j = hits.join(a, "cid").join(b, "found").where("n = nb")
-    unequal = S.unequal_fields(F.col("n"), [F.col(c) for c in CODE], [F.col(f"{c}b") for c in CODE])
-    close = j.where(unequal <= F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - F.lit(1e-9))).select("cid", "found", "n", *keep)
-    return S.verified(close, left, threshold, "cid", "found", right)
+        hits = old.join(broadcast_if_small(probes.drop("bucket"), 64 << 20), "key").select("cid", "found").distinct()
+        if sum(len(self._names(f"signatures/{n}")) for n in self.batches()) > FEW:
+            hits = stage(hits, "hits")
+            got = hits.select(F.shiftright("found", 32).alias("b")).distinct().limit(1 << 16).collect()
+            blocks = [r[0] for r in got] if len(got) < 1 << 16 else None  # so many: all are read
+        # hits are few: lanes come with the codes, one join for each side
+        a = entries.select("cid", "n", *CODE, F.col("lanes").alias("la"), *keep)
+        b = self.signatures(blocks).select(F.col("cid").alias("found"), F.col("n").alias("nb"), *(F.col(c).alias(f"{c}b") for c in CODE), F.col("lanes").alias("lb"), "first_sub")
+        j = hits.join(a, "cid").join(b, "found").where("n = nb")
+        unequal = S.unequal_fields(F.col("n"), [F.col(c) for c in CODE], [F.col(f"{c}b") for c in CODE])
+        close = j.where(unequal <= F.col("n") - F.ceil(F.col("n") * F.lit(self.threshold) - F.lit(1e-9)))
+        return S.with_equal(close.select("cid", "found", "n", "first_sub", *keep, "la", "lb"), self.threshold)
 
 
 def plain_id(c: str = "sequence_id"):
@@ -144,42 +139,32 @@ def plain_id(c: str = "sequence_id"):
     return F.lower(F.regexp_replace(c, r"(?U)\s+", ""))
 
 
-def usable_ids(df: DataFrame) -> DataFrame:
-    return df.where("segment_name is not null and pid is not null")
+def known_ids(history: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(submission_id, known_id): history or a smaller submission_id has the segment and the id apart from case and blanks.
 
+    The order of submissions alone decides, so the ids of all batches are looked up at once. Null ids or segments match
+    nothing; the submissions stay in the result.
+    """
+    rows = incoming.select("submission_id", "segment_name", plain_id().alias("pid"))
+    old = history.select(F.lit(None).cast("long").alias("submission_id"), "segment_name", plain_id().alias("pid"))
+    both = rows.union(old).where("segment_name is not null and pid is not null")
+    first = both.groupBy("segment_name", "pid").agg(F.min(F.coalesce("submission_id", F.lit(-(1 << 62)))).alias("first"), F.max("submission_id").alias("asked")).where("asked is not null")
+    j = rows.join(first, ["segment_name", "pid"], "left")
+    return j.select("submission_id", F.coalesce(F.col("first") < F.col("submission_id"), F.lit(False)).alias("known_id"))
 
-def check_batch(index: SignatureIndex, history_ids: DataFrame, incoming: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(result, classes, firsts) of one batch against the index and the ids accepted so far.
 
-    result has (submission_id, known_id, near_duplicate). known_id: history_ids (segment_name, pid) or a smaller
-    submission_id of the batch has the segment and the id apart from case and blanks; near_duplicate: the index or a
-    smaller submission_id has a comparable signature in the threshold. Null ids or segments and unusable signatures
-    match nothing; the submissions stay in the result. classes and firsts (cid, low) are what accept() appends.
+def check_batch(index: SignatureIndex, incoming: DataFrame) -> DataFrame:
+    """(segment_name, h1, h2, first) of the signatures of one batch, staged: the smallest submission that brought one like
+    it, -1 for the history; the index holds the batch afterwards.
+
+    The batch is appended with the smallest submission_id of each signature before it probes, so its own earlier rows
+    are found like those of earlier batches.
     """
-    sub = incoming.select("submission_id", "segment_name", plain_id().alias("pid"), "kmer_signature")
-    old = usable_ids(history_ids).select("segment_name", "pid").distinct().withColumn("old", F.lit(True))
-    first = usable_ids(sub).groupBy("segment_name", "pid").agg(F.min("submission_id").alias("first_sub"))
-    mine = usable_ids(sub).select("segment_name", "pid").distinct()
-    old = old.join(broadcast_if_small(mine), ["segment_name", "pid"], "left_semi")
-    ids = sub.select("submission_id", "segment_name", "pid").join(first, ["segment_name", "pid"], "left").join(old, ["segment_name", "pid"], "left")
-    ids = ids.select("submission_id", (F.coalesce("old", F.lit(False)) | F.coalesce(F.col("first_sub") < F.col("submission_id"), F.lit(False))).alias("known_id"))
-    cls = S.classes(sub.select("segment_name", "kmer_signature"))
-    mem = S.members(sub, cls, "submission_id").select("cid", "submission_id")
-    low = stage(mem.groupBy("cid").agg(F.min("submission_id").alias("low")), "firsts")
-    before = index.probe(cls).groupBy("cid").agg(F.min("first_sub").alias("before"))
-    inner = stage(index.within(cls).select("cid", "found"), "within")
-    both = inner.union(inner.select("found", "cid").toDF("cid", "found"))
-    linked = both.join(low.withColumnRenamed("cid", "found"), "found").groupBy("cid").agg(F.min("low").alias("linked"))
-    near = mem.join(low, "cid").join(before, "cid", "left").join(linked, "cid", "left")
-    near = near.select("submission_id", (F.least("low", "before", "linked") < F.col("submission_id")).alias("near"))
-    out = ids.join(near, "submission_id", "left").select("submission_id", "known_id", F.coalesce("near", F.lit(False)).alias("near_duplicate"))
-    return out, cls, low
-
-
-def accept(index: SignatureIndex, cls: DataFrame, firsts: DataFrame) -> None:
-    """Append a checked batch's classes to the index, with the smallest submission of each."""
-    if not cls.isEmpty():
-        index.append(cls.join(firsts.withColumnRenamed("low", "_low"), "cid"), F.col("_low"))
+    cls = S.classes(incoming.select("submission_id", "segment_name", "kmer_signature"), first="submission_id")
+    hits = index.probe(index.append(cls, F.col("submission_id")), "segment_name", "h1", "h2")
+    out = stage(hits.groupBy("segment_name", "h1", "h2").agg(F.min("first_sub").alias("first")), "checked")
+    discard(cls)
+    return out
 
 
 def arrivals(incoming: DataFrame) -> list[tuple[int, int]]:
@@ -200,21 +185,23 @@ def arrivals(incoming: DataFrame) -> list[tuple[int, int]]:
 def check_batches(index: SignatureIndex, history_ids: DataFrame, incoming: DataFrame) -> DataFrame:
     """(submission_id, known_id, near_duplicate) of all submissions, batch after batch.
 
-    Each batch probes the index, then its signatures and ids are added to what the next one is checked against; the
-    history is read only where a batch hits it. Submissions without an id are left out; an empty table gives no rows.
+    near_duplicate: the history or a smaller submission_id has a comparable signature in the threshold. Each batch is
+    appended to the index and probes it; what came before is read where the batch hits it. Unusable signatures match
+    nothing; submissions without an id are left out; an empty table gives no rows.
     """
-    ids = history_ids.select("segment_name", plain_id().alias("pid"))
-    incoming = incoming.select("submission_id", "batch_no", "sequence_id", "segment_name", "kmer_signature")
-    out = None
-    for a, b in arrivals(incoming):
-        part = incoming.where(F.col("submission_id").between(a, b))
-        got, cls, firsts = check_batch(index, ids, part)
-        got = stage(got, "checked")
-        accept(index, cls, firsts)
-        ids = ids.union(part.select("segment_name", plain_id().alias("pid")))
-        discard(cls, firsts)
-        out = got if out is None else out.union(got)
-    return incoming.sparkSession.createDataFrame([], "submission_id long, known_id boolean, near_duplicate boolean") if out is None else out
+    incoming = incoming.select("submission_id", "batch_no", "sequence_id", "segment_name", "kmer_signature").where("submission_id is not null")
+    spans, seen = arrivals(incoming), None
+    batch = F.lit(0)
+    for i, (a, b) in enumerate(spans):
+        got = check_batch(index, incoming.where(F.col("submission_id").between(a, b))).withColumn("batch", F.lit(i))
+        batch = F.when(F.col("submission_id") >= a, F.lit(i)).otherwise(batch)
+        seen = got if seen is None else seen.union(got)
+    known = known_ids(history_ids, incoming)
+    if seen is None:
+        return known.withColumn("near_duplicate", F.lit(False))
+    rows = S.keyed(incoming.where("segment_name is not null").withColumn("batch", batch))
+    near = rows.join(seen, ["segment_name", "h1", "h2", "batch"]).select("submission_id", (F.col("first") < F.col("submission_id")).alias("near"))
+    return known.join(near, "submission_id", "left").select("submission_id", "known_id", F.coalesce("near", F.lit(False)).alias("near_duplicate"))
 
 
 def p6_checked(spark, sf_dir: str) -> DataFrame:

@@ -141,18 +141,21 @@ def unequal_fields(n, a: list, b: list):
 CLASS_SCHEMA = "segment_name string, h1 long, h2 long, n int, grp long, lanes binary, c0 long, c1 long, c2 long, c3 long"
 
 
-def _to_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        seg, gh = b.column("segment_name"), np.asarray(b.column("gh")).view(np.uint64)
-        h1, h2 = np.asarray(b.column("h1")), np.asarray(b.column("h2"))
-        for n, rows, seeds, lanes in parse(b.column("sig")):
-            with np.errstate(over="ignore"):
-                grp = mix(gh[rows] + np.uint64(n) * _M2 + seeds.astype(np.uint64) * _M3)
-            c = codes(lanes)
-            yield pa.RecordBatch.from_arrays(
-                [seg.take(pa.array(rows)), pa.array(h1[rows]), pa.array(h2[rows]), pa.array(np.full(len(rows), n, np.int32)), pa.array(grp.view(np.int64)), binary(lanes), *(pa.array(c[:, i]) for i in range(4))],
-                names=["segment_name", "h1", "h2", "n", "grp", "lanes", "c0", "c1", "c2", "c3"],
-            )
+def _to_classes(*extra: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            seg, gh = b.column("segment_name"), np.asarray(b.column("gh")).view(np.uint64)
+            h1, h2 = np.asarray(b.column("h1")), np.asarray(b.column("h2"))
+            for n, rows, seeds, lanes in parse(b.column("sig")):
+                with np.errstate(over="ignore"):
+                    grp = mix(gh[rows] + np.uint64(n) * _M2 + seeds.astype(np.uint64) * _M3)
+                c, at = codes(lanes), pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [seg.take(at), pa.array(h1[rows]), pa.array(h2[rows]), pa.array(np.full(len(rows), n, np.int32)), pa.array(grp.view(np.int64)), binary(lanes), *(pa.array(c[:, i]) for i in range(4)), *(b.column(x).take(at) for x in extra)],
+                    names=["segment_name", "h1", "h2", "n", "grp", "lanes", "c0", "c1", "c2", "c3", *extra],
+                )
+
+    return run
 
 
 def keyed(df: DataFrame, signature: str = "kmer_signature") -> DataFrame:
@@ -160,15 +163,18 @@ def keyed(df: DataFrame, signature: str = "kmer_signature") -> DataFrame:
     return df.withColumns({"h1": F.xxhash64(F.col(signature)), "h2": F.xxhash64(F.col(signature), F.lit(2))})
 
 
-def classes(df: DataFrame, signature: str = "kmer_signature") -> DataFrame:
-    """One staged row for each distinct usable signature of a segment: cid, its hashes, lanes and code.
+def classes(df: DataFrame, signature: str = "kmer_signature", first: str | None = None) -> DataFrame:
+    """One staged row for each distinct usable signature of a segment: cid, its hashes, lanes and code, and the least
+    value of the long column `first`, if one is named, as that column.
 
     Rows with a null segment or an unusable signature make no class. Copies meet in map-side partial aggregates, so a
     signature that a third of all rows share costs no large group.
     """
     c = keyed(df.where(F.col("segment_name").isNotNull() & (F.length(signature) >= 24)), signature)
-    c = c.groupBy("segment_name", "h1", "h2").agg(F.first(signature).alias("sig")).withColumn("gh", F.xxhash64("segment_name"))
-    c = c.mapInArrow(_to_classes, CLASS_SCHEMA)
+    least = [F.min(first).alias(first)] if first else []
+    c = c.groupBy("segment_name", "h1", "h2").agg(F.first(signature).alias("sig"), *least).withColumn("gh", F.xxhash64("segment_name"))
+    own = [first] if first else []
+    c = c.mapInArrow(_to_classes(*own), CLASS_SCHEMA + "".join(f", {x} long" for x in own))
     return stage(c.select(F.monotonically_increasing_id().alias("cid"), "*"), "classes")
 
 
@@ -316,16 +322,19 @@ def verified(pairs: DataFrame, cls: DataFrame, threshold: float, left: str = "ca
     """
     a = cls.select(F.col("cid").alias(left), F.col("lanes").alias("la"))
     b = (cls if other is None else other).select(F.col("cid").alias(right), F.col("lanes").alias("lb"))
-    j = pairs.join(a, left).join(b, right)
-    keep = pairs.columns
-    schema = StructType(list(pairs.schema)).add("equal", "integer")
+    return with_equal(pairs.join(a, left).join(b, right).select(*pairs.columns, "la", "lb"), threshold)
+
+
+def with_equal(pairs: DataFrame, threshold: float) -> DataFrame:
+    """pairs (n, la, lb, ...) whose lanes agree in at least the threshold, with the number of equal ones in their place."""
+    keep = [c for c in pairs.columns if c not in ("la", "lb")]
+    schema = StructType([f for f in pairs.schema if f.name in keep]).add("equal", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             eq = equal_lanes(x.column("la"), x.column("lb"))
-            n = np.asarray(x.column("n"))
-            ok = eq >= np.ceil(threshold * n - 1e-9)
+            ok = eq >= np.ceil(threshold * np.asarray(x.column("n")) - 1e-9)
             t = pa.RecordBatch.from_arrays([*(x.column(c) for c in keep), pa.array(eq)], names=[*keep, "equal"])
             yield t.filter(pa.array(ok))
 
-    return j.select(*keep, "la", "lb").mapInArrow(run, schema)
+    return pairs.mapInArrow(run, schema)

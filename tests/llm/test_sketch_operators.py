@@ -163,9 +163,10 @@ def test_history_index(spark, df, empty):
     again = H.SignatureIndex(spark, idx.path)
     assert again.batches() == [0, 1, 2, 3] and again.buckets == idx.buckets
     cids = [r[0] for r in again.signatures().select("cid").collect()]
-    assert len(cids) == len(set(cids)) and sorted(cids) == list(range(len(cids)))
+    assert len(cids) == len(set(cids)) and {c >> 51 for c in cids} == {0, 1, 2, 3}
     later = subs.withColumn("submission_id", F.col("submission_id") + 100)
-    assert all(r["near_duplicate"] == bool(X.records([(0, "x", *inc[r["submission_id"] - 100][3:])])) for r in H.check_batch(again, df.select("segment_name", H.plain_id().alias("pid")), later)[0].collect())
+    usable = {i: bool(X.records([(0, "x", seg, sig)])) for i, _, _, seg, sig in inc}
+    assert {r["submission_id"] - 100: r["near_duplicate"] for r in H.check_batches(again, df, later).collect()} == usable
     assert H.check_batches(idx, df, subs.limit(0)).count() == 0
     # overlapping batches are taken together, in any order of their numbers
     mixed = subs.withColumn("batch_no", F.when(F.col("submission_id") % 2 == 0, 9).otherwise(None))
@@ -174,7 +175,7 @@ def test_history_index(spark, df, empty):
 
 
 def test_index_ids_and_crashes(spark, empty):
-    """The first signature after one of cid 0 gets cid 1; what a crashed append left behind is overwritten."""
+    """Batches never share a cid, whatever the first one's are; what a crashed append left behind is overwritten."""
     rng = random.Random(3)
     row = lambda i: (i, f"s{i}", "HA", X.signature([rng.getrandbits(64) for _ in range(64)]), 0.1, "v", 1, "", "")
     one, two = (spark.createDataFrame([row(i)], X.SCHEMA).select("segment_name", "kmer_signature") for i in (1, 2))
@@ -182,21 +183,23 @@ def test_index_ids_and_crashes(spark, empty):
     spark.range(3).selectExpr("id as key", "id as cid", "0 as bucket").write.partitionBy("bucket").parquet(f"{idx.path}/postings/1")
     assert idx.postings().count() == 10
     cls = S.classes(two)
-    H.accept(idx, cls, cls.selectExpr("cid", "7L as low"))
-    assert sorted((r["cid"], r["first_sub"]) for r in idx.signatures().collect()) == [(0, -1), (1, 7)] and idx.postings().count() == 20
+    idx.append(cls, F.lit(7).cast("long"))
+    assert sorted((r["cid"], r["first_sub"]) for r in idx.signatures().collect()) == [(0, -1), (1 << 51, 7)] and idx.postings().count() == 20
     assert H.SignatureIndex.create(empty.select("segment_name", "kmer_signature"), scratch(spark, "index")).probe(cls).count() == 0
 
 
-def test_a_probe_reads_what_its_batch_hits(spark):
+def test_a_probe_reads_what_its_batch_hits(spark, monkeypatch):
     """Directories a probe reads are bounded by the batch's keys and hits, not by the history."""
+    monkeypatch.setattr(H, "FEW", 1)
     rng = random.Random(4)
     rows = [(i, f"s{i}", "HA", X.signature([rng.getrandbits(64) for _ in range(64)]), 0.1, "v", 1, "", "") for i in range(400)]
     idx = H.SignatureIndex.create(spark.createDataFrame(rows, X.SCHEMA).select("segment_name", "kmer_signature"), scratch(spark, "index"), per_bucket=20)
     read = []
-    every = idx.postings
+    every, all_blocks = idx.postings, idx.signatures
     idx.postings = lambda buckets: read.append(len(buckets)) or every(buckets)
+    idx.signatures = lambda blocks: read.append(len(blocks)) or all_blocks(blocks)
     hit = idx.probe(S.classes(spark.createDataFrame(rows[:1], X.SCHEMA))).collect()
-    assert len(hit) == 1 and hit[0]["equal"] == 64 and idx.buckets == 200 and read[0] <= 10
+    assert len(hit) == 1 and hit[0]["equal"] == 64 and idx.buckets == 200 and read[0] <= 10 and read[1] == 1
 
 
 def test_similarity_clusters(df, empty):
