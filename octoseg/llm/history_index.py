@@ -125,10 +125,10 @@ class SignatureIndex:
             hits = stage(hits, "hits")
             got = hits.select(F.shiftright("found", 32).alias("b")).distinct().limit(1 << 16).collect()
             blocks = [r[0] for r in got] if len(got) < 1 << 16 else None  # so many: all are read
-        # hits are few: lanes come with the codes, one join for each side
-        a = entries.select("cid", "n", *CODE, F.col("lanes").alias("la"), *keep)
+        # what hits is staged with the batch's lanes, so that its size is known: while it is small the history isn't shuffled
+        a = stage(hits.join(entries.select("cid", "n", *CODE, F.col("lanes").alias("la"), *keep), "cid"), "hits")
         b = self.signatures(blocks).select(F.col("cid").alias("found"), F.col("n").alias("nb"), *(F.col(c).alias(f"{c}b") for c in CODE), F.col("lanes").alias("lb"), "first_sub")
-        j = hits.join(a, "cid").join(b, "found").where("n = nb")
+        j = b.join(broadcast_if_small(a, 32 << 20), "found").where("n = nb")
         unequal = S.unequal_fields(F.col("n"), [F.col(c) for c in CODE], [F.col(f"{c}b") for c in CODE])
         close = j.where(unequal <= F.col("n") - F.ceil(F.col("n") * F.lit(self.threshold) - F.lit(1e-9)))
         return S.with_equal(close.select("cid", "found", "n", "first_sub", *keep, "la", "lb"), self.threshold)
