@@ -106,7 +106,7 @@ def test_most_similar(df, empty):
         if v >= 0.75:
             near.setdefault((s, a), []).append((-v, b))
             near.setdefault((s, b), []).append((-v, a))
-    for k, first in ((5, 0.9), (2, 0.9), (5, 0.75), (1, 0.95)):
+    for k, first in ((5, 0.9), (2, 0.9), (5, 0.75), (1, 0.95), (1, 0.76)):
         want = {(s, a, b, round(-v, 9)) for (s, a), l in near.items() for v, b in sorted(l)[:k]}
         got = {(r[0], r[1], r[2], round(r[3], 9)) for r in K.most_similar(df, k, near=first).collect()}
         assert got == want
