@@ -13,6 +13,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 
 from octoseg import config as C
 from octoseg.functions import sequence as Q
+from octoseg.runtime import spread, stage
 
 #: A k-mer, a seed and the two words of its MurmurHash3 x64 128.
 GOLDEN = (b"ACGTACGTACGTACGTACGTA", 42, 13036166743686632327, 4543100632486228299)
@@ -179,7 +180,7 @@ def build_signatures(segments: DataFrame, sketch: C.Sketch | None = None, seq: s
             sig = pa.array([signature_bytes(x, y, sketch) for x, y in zip(s, k)], pa.binary())
             yield pa.RecordBatch.from_arrays([*(b.column(b.schema.names.index(c)) for c in keep), sig], names=[*keep, "kmer_signature"])
 
-    return df.mapInArrow(run, schema)
+    return spread(df).mapInArrow(run, schema)
 
 
 def from_bytes(sig: bytes) -> dict:
@@ -252,7 +253,7 @@ def kmer_frequencies(df: DataFrame, keys: list[str], seq: str, k: int, both_stra
                 at = pa.array(np.concatenate(rows).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([*(b.column(j).take(at) for j in range(len(keys))), pa.array(np.concatenate(codes).astype(np.int64)), pa.array(texts, pa.string()), pa.array(np.concatenate(counts).astype(np.int64))], names=[*keys, "code", "text", "n"])
 
-    out = df.select(*keys, seq).mapInArrow(run, schema).groupBy(*keys, "code", "text").agg(F.sum("n").alias("n"))
+    out = spread(df.select(*keys, seq)).mapInArrow(run, schema).groupBy(*keys, "code", "text").agg(F.sum("n").alias("n"))
     return out.select(*keys, F.coalesce("text", decoded(F.col("code"), k)).alias("kmer"), "n")
 
 
@@ -289,7 +290,7 @@ def kmer_counts(df: DataFrame, keys: list[str], seq: str, ks: list[int], both_st
             at_ = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays([*(b.column(j).take(at_) for j in range(len(keys))), pa.array(kk, pa.int32()), pa.array(total, pa.int64()), pa.array(distinct, pa.int64())], names=[*keys, "k", "total", "distinct_kmers"])
 
-    return df.select(*keys, seq).mapInArrow(run, schema)
+    return spread(df.select(*keys, seq)).mapInArrow(run, schema)
 
 
 def sliding_without_n(s: np.ndarray, k: int) -> int:
@@ -317,8 +318,6 @@ def shared_kmer_pairs(df: DataFrame, key: str, seq: str, k: int, group: list[str
     sets = df.select(*group, key, F.array_sort(F.array_distinct(Q.kmers(seq, k))).alias("ks")).where("size(ks) > 0")
     km = sets.select(*group, F.col(key).alias("id"), F.size("ks").alias("n"), F.explode("ks").alias("kmer"))
     hot = km.groupBy(*group, "kmer").agg(F.count("*").alias("c")).where(F.col("c") > most).select(*group, "kmer")
-    from octoseg.runtime import stage
-
     hot = stage(hot, "hot")
     a = km.select(*group, "kmer", F.col("id").alias("a"), F.col("n").alias("na"))
     b = km.select(*group, "kmer", F.col("id").alias("b"), F.col("n").alias("nb"))

@@ -127,6 +127,14 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 8 << 20) -> DataFrame:
     return F.broadcast(df) if small_enough(df, limit_bytes) else df
 
 
+def spread(df: DataFrame, per_core: int = 2) -> DataFrame:
+    """df over all cores, if its scan is too small to be split for them; a large table stays as it is scanned."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    small = small_enough(df, cores * (64 << 20))
+    return df.repartition(cores * per_core) if small and 0 < len(df.inputFiles()) < cores else df
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
