@@ -44,8 +44,12 @@ class Atoms:
         self.cache = Cache()
 
     def _packed(self, p: str) -> int:
-        v = min(len(self.enc.cache[p]), (1 << 20) - 1)
-        v |= self.STARTS * p[0].isspace() | self.ENDS * p[-1].isspace() | self.BLANK * p.isspace()
+        return min(len(self.enc.cache[p]), (1 << 20) - 1) | self.marks(p)
+
+    def marks(self, p: str) -> int:
+        """Flags and hash, without the number of tokens."""
+        v = self.STARTS * p[0].isspace()
+        v |= self.ENDS * p[-1].isspace() | self.BLANK * p.isspace()
         v |= self.NEWLINE * (p[-1] == "\n") | self.LINES * (p.count("\n") > 1)
         bare = p.rstrip("\"'”’»)] \t")
         v |= self.STOP * (bare[-1:] in tuple(".!?…。！？"))
@@ -54,11 +58,20 @@ class Atoms:
 
 def _cut(piece: str, longest: int = ATOM) -> list[str]:
     """Atoms of a long pre-token: they end where the hash of the last letters says so, at longest letters at the latest."""
+    cp = np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    roll = np.zeros(len(cp), np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(min(BACK, len(cp))):
+            roll[k:] += cp[: len(cp) - k] * np.uint64(pow(0x9E3779B97F4A7C15, k + 1, 1 << 64))
+    ends = (np.flatnonzero((roll >> np.uint64(40)) % np.uint64(32) == 0) + 1).tolist()
     begin, out = 0, []
-    for i in range(1, len(piece) + 1):
-        if i == len(piece) or i - begin >= longest or (i - begin >= 8 and xxhash.xxh32_intdigest(piece[i - BACK : i]) % 32 == 0):
-            out.append(piece[begin:i])
-            begin = i
+    for e in [*ends, len(piece)]:
+        while e - begin > longest:
+            out.append(piece[begin : begin + longest])
+            begin += longest
+        if e - begin >= 8 or e == len(piece) > begin:
+            out.append(piece[begin:e])
+            begin = e
     return out
 
 
@@ -94,17 +107,27 @@ def split_text(atoms: Atoms, text: str, most: int = 512, overlap: int = 64, leas
     room = most - overlap
     limit = max(1, min(room, overlap or room) // 2)
     letters = max(1, min(ATOM, room // 4))  # a letter has four tokens at most
+    whole_sizes, group = sizes, np.arange(len(parts))
     is_cut = np.zeros(len(parts), dtype=bool)
     if (sizes > limit).any():
-        cut = [(p, False) if n <= limit else (q, True) for p, n in zip(parts, sizes) for q in ([p] if n <= limit else _cut(p, letters))]
-        parts, is_cut = [p for p, _ in cut], np.array([c for _, c in cut])
-        v = np.fromiter(map(atoms.cache.__getitem__, parts), dtype=np.int64, count=len(parts))
-        sizes = v & 0xFFFFF
+        # tokens of a cut pre-token's atoms are taken in proportion to their letters; count() is exact
+        cut = [[p] if n <= limit else _cut(p, letters) for p, n in zip(parts, sizes)]
+        each = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        group, is_cut = np.repeat(group, each), np.repeat(sizes > limit, each)
+        v, sizes = v[group], sizes[group]
+        parts = [q for qs in cut for q in qs]
+        at = np.flatnonzero(is_cut)
+        v[at] = [atoms.marks(parts[i]) for i in at]
+        long = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        sizes = np.where(is_cut, -(-sizes * long // np.bincount(group, long).astype(np.int64)[group]), sizes)
     m = len(parts)
     starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=m))])
     upto = np.concatenate([[0], np.cumsum(sizes)])
     cuts_upto = np.concatenate([[0], np.cumsum(is_cut)])
     blank = (v & Atoms.BLANK) != 0
+    odd_upto = np.concatenate([[0], np.cumsum(is_cut & blank)])
+    first = np.searchsorted(group, np.arange(len(whole_sizes) + 1))  # the first atom of each pre-token
+    whole_upto = np.concatenate([[0], np.cumsum(whole_sizes)])
     kind = np.concatenate([levels(v), [PARAGRAPH]])
     h, roll = (v >> 28).astype(np.uint64), np.zeros(m, dtype=np.uint64)
     for k in range(min(BACK, m)):
@@ -113,13 +136,24 @@ def split_text(atoms: Atoms, text: str, most: int = 512, overlap: int = 64, leas
     marks = np.flatnonzero(((roll ^ (roll >> np.uint64(29))) % np.uint64(SPACING)) == 0) + 1
 
     def count(a: int, b: int) -> int:
-        """Tokens of atoms a to b as a text of their own: a blank end is one run there, cut pre-tokens merge anew."""
-        if cuts_upto[b] > cuts_upto[a]:
-            return enc.count(text[starts[a] : starts[b]])
+        """Tokens of atoms a to b as a text of their own: a blank end is one run there, and of a pre-token that is cut
+        only what lies within is encoded anew. A cut run of blanks, or one before an apostrophe, changes how the text falls into
+        pre-tokens, so that the whole is encoded."""
         e = b
         while e > a and blank[e - 1]:
             e -= 1
-        return int(upto[e] - upto[a]) + (len(enc.cache["".join(parts[e:b])]) if e < b else 0)
+        tail = len(enc.cache["".join(parts[e:b])]) if e < b else 0
+        if cuts_upto[b] == cuts_upto[a]:
+            return int(upto[e] - upto[a]) + tail
+        if odd_upto[b] > odd_upto[a] or e == a or parts[a][0] == "'":
+            return enc.count(text[starts[a] : starts[b]])
+        one, last = int(group[a]), int(group[e - 1])
+        part = lambda i, j: len(enc.cache[text[starts[i] : starts[j]]])
+        if one == last:
+            return (int(whole_sizes[one]) if first[one] == a and first[one + 1] == e else part(a, e)) + tail
+        left = int(whole_sizes[one]) if first[one] == a else part(a, first[one + 1])
+        right = int(whole_sizes[last]) if first[last + 1] == e else part(first[last], e)
+        return left + int(whole_upto[last] - whole_upto[one + 1]) + right + tail
 
     pieces: list[tuple[int, int, int, int]] = []
     i, last = 0, 0
