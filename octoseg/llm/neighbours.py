@@ -129,7 +129,7 @@ def most_similar(seg: DataFrame, k: int = 5, threshold: float = 0.75, near: floa
     cls = S.classes(rec)
     mem = stage(S.members(rec, cls.select("cid", "segment_name", "h1", "h2", "n"), "sequence_id").join(cls.select("cid", "n"), "cid"), "members")
     size = stage(mem.groupBy("cid").agg(F.count("*").alias("size"), F.first("n").alias("equal")), "sizes")
-    counts, _ = S.rarity(cls)
+    counts = S.rarity_levels(cls)
     code = stage(with_codes(cls), "codes")
     links, searching = None, None
     if near > threshold:

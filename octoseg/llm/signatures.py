@@ -193,14 +193,21 @@ def sketch_width(rows: int) -> int:
     return 1 << min(23, max(16, math.ceil(math.log2(max(1, rows) * 4))))
 
 
-def order_sketch(cls: DataFrame, width: int, fan: int = 64) -> np.ndarray:
-    """Counts of all tokens of all rows, in `width` counters by hash.
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Counts as bytes in the same order: exact up to 63, then seven steps to each doubling."""
+    c = np.maximum(counts, 1).astype(np.float64)
+    return np.where(counts < 64, counts, np.minimum(64 + 7 * np.log2(c / 64), 255)).astype(np.uint8)
+
+
+def order_sketch(cls: DataFrame, width: int, fan: int = 64, small: bool = False) -> np.ndarray:
+    """Counts of all tokens of all rows, in `width` counters by hash; with small their levels(), a byte each.
 
     Each task counts one sketch, of at most 32 MB, and there are at most twice as many tasks as cores, whatever the
     number of partitions. Sketches are added up block by block in two levels of up to `fan` parts; the driver gets the
     one sum.
     """
     schema = "block int, part int, counts binary"
+    kind = np.uint8 if small else np.uint32
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -219,13 +226,17 @@ def order_sketch(cls: DataFrame, width: int, fan: int = 64) -> np.ndarray:
             total += np.frombuffer(x, dtype=np.uint32)
         return pd.DataFrame({"block": [key[0]], "part": [0], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
 
+    def last(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        out = added(key, pdf)
+        return out.assign(counts=[levels(np.frombuffer(x, dtype=np.uint32)).tobytes() for x in out["counts"]]) if small else out
+
     tasks = 2 * cls.sparkSession.sparkContext.defaultParallelism
     got = cls.select("grp", "n", "lanes").coalesce(tasks).mapInArrow(partial, schema)
     if tasks > fan:
         got = got.groupBy("block", "part").applyInPandas(added, schema)
-    out = np.zeros((BLOCKS, width // BLOCKS), dtype=np.uint32)
-    for r in got.groupBy("block").applyInPandas(added, schema).collect():
-        out[r["block"]] = np.frombuffer(r["counts"], dtype=np.uint32)
+    out = np.zeros((BLOCKS, width // BLOCKS), dtype=kind)
+    for r in got.groupBy("block").applyInPandas(last, schema).collect():
+        out[r["block"]] = np.frombuffer(r["counts"], dtype=kind)
     return out.ravel()
 
 
@@ -315,6 +326,11 @@ def rarity(cls: DataFrame):
     return share(cls.sparkSession, counts), int(64 + 2 * counts.mean())
 
 
+def rarity_levels(cls: DataFrame):
+    """The broadcast order sketch of cls as bytes, at most 8 MB: enough for an order, not for a limit of hot tokens."""
+    return share(cls.sparkSession, order_sketch(cls, sketch_width(cls.count()), small=True))
+
+
 def verified(pairs: DataFrame, cls: DataFrame, threshold: float, left: str = "ca", right: str = "cb", other: DataFrame | None = None) -> DataFrame:
     """pairs whose signatures agree in at least the threshold, with the number of equal lanes.
 

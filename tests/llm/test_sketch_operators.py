@@ -115,6 +115,19 @@ def test_most_similar(df, empty):
     assert K.most_similar(empty).count() == 0
 
 
+def test_the_driver_gets_a_byte_a_counter(df, monkeypatch):
+    """What p2 collects and broadcasts is bounded by a byte for each counter, and keeps the order of the counts."""
+    sent = []
+    share = S.share
+    monkeypatch.setattr(S, "share", lambda spark, v: sent.append(v.copy()) or share(spark, v))
+    K.most_similar(df).count()
+    cls = S.classes(N.records(df))
+    exact = S.order_sketch(cls, S.sketch_width(cls.count()))
+    assert [v.nbytes for v in sent] == [exact.size] and (sent[0] == S.levels(exact)).all() and exact.max() > 9
+    c = np.unique(np.concatenate([np.arange(3000), 2 ** np.arange(33) - 1])).astype(np.uint32)
+    assert (np.diff(S.levels(c).astype(int)) >= 0).all() and (S.levels(c[:64]) == c[:64]).all() and S.levels(c[-1:])[0] == 64 + 7 * 26 - 1
+
+
 def test_estimates_keep_to_their_bound():
     rng = np.random.default_rng(3)
     rot = K.rotation()
