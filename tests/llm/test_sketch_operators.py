@@ -123,7 +123,7 @@ def test_the_driver_gets_a_byte_a_counter(df, monkeypatch):
     K.most_similar(df).count()
     cls = S.classes(N.records(df))
     exact = S.order_sketch(cls, S.sketch_width(cls.count()))
-    assert [v.nbytes for v in sent] == [exact.size] and (sent[0] == S.levels(exact)).all() and exact.max() > 9
+    assert sent[0].nbytes == exact.size and all(v.nbytes < exact.size for v in sent[1:]) and (sent[0] == S.levels(exact)).all() and exact.max() > 9
     c = np.unique(np.concatenate([np.arange(3000), 2 ** np.arange(33) - 1])).astype(np.uint32)
     assert (np.diff(S.levels(c).astype(int)) >= 0).all() and (S.levels(c[:64]) == c[:64]).all() and S.levels(c[-1:])[0] == 64 + 7 * 26 - 1
 
@@ -141,6 +141,53 @@ def test_estimates_keep_to_their_bound():
     assert abs(est.mean() - 0.75) < 0.02 and (est >= 0.75 - K.error_bound(0.75)).all() and (est < 0.75 - K.error_bound(0.75, 4)).mean() < 0.001
 
 
+@pytest.mark.parametrize("n", [64, 100, 128])
+def test_refined_estimates_keep_to_their_bound(spark, n):
+    """A code against a four-bit vector: without bias, closer than two codes, within the bound of each pair."""
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**63, (2000, n)).astype(np.uint64)
+    b = a.copy()
+    b[:, : n // 4] = rng.integers(0, 2**63, (2000, n // 4)).astype(np.uint64)
+    cls = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate([*a, *b])], "cid long, lanes binary")
+    code = K.with_codes(cls).cache()
+    left = code.where("cid < 2000").select("cid", "n", *K.WORDS, "f")
+    right = code.where("cid >= 2000").select((F.col("cid") - 2000).alias("cid"), *(F.col(w).alias(f"v{i}") for i, w in enumerate(K.WORDS)), F.col("f").alias("fb"), *K.PLANES, "low", "step", "total")
+    words = [F.col(w) for w in K.WORDS]
+    est = K.refined(words, F.col("f"), [F.col(p) for p in K.PLANES], F.col("low"), F.col("step"), F.col("total"))
+    bound = K.refined_bound(F.lit(0.75), F.col("f"), F.col("step"), F.col("n"), 1.0)
+    two = K.estimate(words, [F.col(f"v{i}") for i in range(4)], F.col("f"), F.col("fb"))
+    got = np.array([tuple(r) for r in left.join(right, "cid").select(est, bound, two).collect()])
+    off = (got[:, 0] - 0.75) / got[:, 1]
+    assert len(got) == 2000 and abs(got[:, 0].mean() - 0.75) < 0.005 and 0.8 < off.std() < 1.1 and abs(off).max() < 5
+    assert got[:, 0].std() < 0.9 * got[:, 2].std()
+
+
+def test_the_kth_best_decides_what_is_reranked(spark, monkeypatch):
+    """Where records have k near ones, only pairs that can be as near are compared on all lanes; none of these is lost."""
+    rng = random.Random(6)
+    centre = [rng.getrandbits(64) for _ in range(64)]
+    rows = []
+    for i in range(160):
+        if i % 4 == 0:
+            family = list(centre)
+            for j in rng.sample(range(64), 8):
+                family[j] = rng.getrandbits(64)
+        v = list(family)
+        v[rng.randrange(64)] = rng.getrandbits(64)
+        rows.append((i, f"d{i:03d}", "HA", X.signature(v), 0.1, "v", 1, "n", "l"))
+    near = {}
+    for (_, a, b), v in X.agreements(rows).items():
+        if v >= 0.75:
+            near.setdefault(a, []).append((-v, b))
+            near.setdefault(b, []).append((-v, a))
+    compared, verified = [], S.verified
+    monkeypatch.setattr(S, "verified", lambda pairs, *a: compared.append(pairs.count()) or verified(pairs, *a))
+    got = {(r[1], r[2], round(r[3], 9)) for r in K.most_similar(spark.createDataFrame(rows, X.SCHEMA), 2, near=0.75).collect()}
+    assert got == {(a, b, round(-v, 9)) for a, l in near.items() for v, b in sorted(l)[:2]}
+    every = sum(len(l) for l in near.values()) // 2
+    assert len(compared) == 2 and compared[0] <= 320 and sum(compared) < 0.4 * every
+
+
 def test_history_index(spark, df, empty):
     rows = [r for r in ROWS]
     rng = random.Random(8)
