@@ -31,3 +31,11 @@ def test_query(spark, sql, name):
     rel = sql.sql(f"select {', '.join(cols)} from ({catalog.SQL[name]})")
     key = lambda r: repr(tuple(map(plain, r)))
     assert sorted(map(key, df.select(*cols).collect())) == sorted(map(key, rel.fetchall()))
+
+
+def signature_scans(df):
+    return sum("FileScan" in x and "kmer_signature" in x for x in df._jdf.queryExecution().executedPlan().toString().splitlines())
+
+
+def test_orphans_export_reads_signatures_once(spark):
+    assert signature_scans(catalog.QUERIES["orphans_export"](spark, SF)) == 1
