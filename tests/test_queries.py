@@ -39,3 +39,7 @@ def signature_scans(df):
 
 def test_orphans_export_reads_signatures_once(spark):
     assert signature_scans(catalog.QUERIES["orphans_export"](spark, SF)) == 1
+
+
+def test_orphan_counts_export_reads_signatures_once(spark):
+    assert signature_scans(catalog.QUERIES["orphan_counts_export"](spark, SF)) == 1
